@@ -41,9 +41,10 @@ WITH RECURSIVE w AS (
     ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM w
 ), sized AS (SELECT doc_id, s, len(s) AS n, hash(list_sort(s)) AS h FROM g),
 e AS (SELECT h, n, min(doc_id) AS rep, any_value(s) AS s FROM sized WHERE n > 0 GROUP BY h, n),
+sh AS (SELECT rep, n, unnest(s) AS x FROM e),
+common AS (SELECT a.rep AS a, b.rep AS b, a.n + b.n AS n, count(*) AS i FROM sh a JOIN sh b ON a.x = b.x AND a.rep < b.rep GROUP BY ALL),
 pairs AS (
-  SELECT a.rep AS a, b.rep AS b FROM e a JOIN e b ON a.rep < b.rep AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
-  WHERE list_has_any(a.s, b.s) AND 100 * len(list_intersect(a.s, b.s)) >= 90 * (a.n + b.n - len(list_intersect(a.s, b.s)))
+  SELECT a, b FROM common WHERE 100 * i >= 90 * (n - i)
 ), sides AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach AS (SELECT rep AS id, rep AS low FROM e UNION SELECT sides.b, reach.low FROM reach JOIN sides ON reach.id = sides.a WHERE reach.low < sides.b)
 SELECT sized.doc_id, CAST(sized.n AS BIGINT) AS n_shingles, coalesce(c.low, sized.doc_id) AS component_id
