@@ -60,6 +60,3 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
-
-def words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").split() if text else []

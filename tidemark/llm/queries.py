@@ -1,6 +1,6 @@
 """Every query of this subpackage, and the SQL of those that SQL can express."""
 
-from . import queries_basic, queries_corpus
+from . import queries_basic, queries_corpus, queries_suffix
 
-QUERIES = {**queries_basic.QUERIES, **queries_corpus.QUERIES}
-SQL = {**queries_basic.SQL, **queries_corpus.SQL}
+QUERIES = {**queries_basic.QUERIES, **queries_corpus.QUERIES, **queries_suffix.QUERIES}
+SQL = {**queries_basic.SQL, **queries_corpus.SQL, **queries_suffix.SQL}

@@ -45,6 +45,10 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def words_of(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").split() if text else []
+
+
 def shingle_set(text: str | None, k: int = 3) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles; a shorter text is one shingle, no words are none."""
     words = lower_words(text)
