@@ -2,5 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from . import catalog_ledger, catalog_relational, catalog_text
+
+_MODULES = (catalog_ledger, catalog_relational, catalog_text)
+
+QUERIES: dict = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
+SQL: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.SQL.items()}
