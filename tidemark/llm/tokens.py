@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 _ENCODERS: dict[str, "PieceEncoder"] = {}
+_BLANK = (" ", "\n")
+#: What stands in the way of cutting at every space and newline: two of them together, other blanks, NUL.
+_ODD = [a + b for a in _BLANK for b in _BLANK] + [c for c in map(chr, range(0x3001)) if c.isspace() and c not in _BLANK] + ["\0"]
 _BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -25,7 +27,7 @@ def default_tokenizer() -> str:
 class PieceEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, max_cached: int = 400_000):
+    def __init__(self, path: str, max_cached: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -33,35 +35,35 @@ class PieceEncoder:
         self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self._max, self._cache = max_cached, {}
         newline = self._tok.encode("\n", add_special_tokens=False).ids
-        self._newline = newline[0] if len(newline) == 1 else None
+        # no id has the newline's low byte as its high one, so its bytes are found at whole ids only
+        apart = len(newline) == 1 and 0 < newline[0] < 256 and self._tok.get_vocab_size() <= newline[0] << 8
+        self._between = array("I", newline).tobytes() if apart else None
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        blanks = text.count(" ") + text.count("\n")
-        if len(text.split()) == blanks + 1 and "\0" not in text:
+        odd = text[:1] in _BLANK or text[-1:] in _BLANK or any(x in text for x in _ODD)
+        if not odd:
             return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return _BEFORE_WORD.split(text)
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def _ids(self, text: str) -> bytes:
+        return array("I", self._tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, new: list[str]) -> None:
         """Pieces without a newline are encoded together, with newlines between them."""
-        cache, joined = self._cache, [p for p in new if p and "\n" not in p]
+        cache, joined = self._cache, []
         for piece in new:
-            if not piece or "\n" in piece:
-                cache[piece] = self._ids(piece).tobytes() if piece else b""
-        for i in range(0, len(joined), 512):
-            part = joined[i : i + 512]
-            ids = self._ids("\n".join(part))
-            ends = np.flatnonzero(ids == self._newline) if self._newline is not None else np.zeros(0, int)
-            if len(ends) == len(part) - 1 and not any(p[-1].isspace() or p[:2].isspace() for p in part):
-                raw, bounds = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
-                for k, piece in enumerate(part):
-                    cache[piece] = raw[4 * bounds[k] + 4 : 4 * bounds[k + 1]]
+            if self._between is None or "\n" in piece or not piece or piece.isspace():
+                cache[piece] = self._ids(piece) if piece else b""
+            else:
+                joined.append(piece)
+        for i in range(0, len(joined), 1024):
+            part = joined[i : i + 1024]
+            found = self._ids("\n".join(part)).split(self._between)
+            if len(found) == len(part):
+                cache.update(zip(part, found))
             else:
-                for piece in part:
-                    cache[piece] = self._ids(piece).tobytes()
+                cache.update((piece, self._ids(piece)) for piece in part)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self._cache) > self._max:
@@ -70,7 +72,7 @@ class PieceEncoder:
         new = set()
         for pieces in cut:
             new.update(pieces)
-        self._learn([p for p in new if p not in self._cache])
+        self._learn(list(new.difference(self._cache)))
         get = self._cache.__getitem__
         return [b"".join(map(get, pieces)) for pieces in cut]
 
@@ -84,7 +86,7 @@ def encoder(path: str) -> PieceEncoder:
 
 def encoded_batches(batches, path: str, end_id: int = 0, step: int = 256):
     """Of Arrow batches (doc_id, text): lists of (doc_id, ids with the end id as bytes)."""
-    enc, end = encoder(path), np.array([end_id], dtype="<u4").tobytes()
+    enc, end = encoder(path), array("I", [end_id]).tobytes()
     for batch in batches:
         for lo in range(0, batch.num_rows, step):
             part = batch.slice(lo, step)
