@@ -66,7 +66,7 @@ def cover_tree(x: np.ndarray, leaf: int = 48) -> Node:
 
 
 class DualTree:
-    """k best data rows of every query, ties to the smaller id; ``visited`` counts leaf pairs."""
+    """k best data rows of every query, ties to the smaller id; ``compared`` counts scores."""
 
     def __init__(self, queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int):
         order = np.argsort(data_ids, kind="stable")
@@ -75,7 +75,7 @@ class DualTree:
         self.exact = peak < 2.0**53
         self.best = np.full((len(queries), k), LOWEST)
         self.best_id = np.zeros((len(queries), k), dtype=np.int64)
-        self.visited = 0
+        self.compared = 0
 
     def run(self, leaf: int = 48) -> "DualTree":
         if len(self.q) and len(self.x):
@@ -108,7 +108,7 @@ class DualTree:
         return np.clip(whole, -(2**63), 2**63 - 1).astype(float)
 
     def _compare(self, rows: np.ndarray, cols: np.ndarray) -> None:
-        self.visited += 1
+        self.compared += len(rows) * len(cols)
         s = self._scores(rows, cols)
         s[self.qid[rows][:, None] == self.xid[cols][None, :]] = LOWEST
         floor = self.best[rows, -1]
