@@ -22,7 +22,7 @@ def close_seams(df: DataFrame, keys: list[str]) -> DataFrame:
 def boundaries(df: DataFrame, keys: list[str]) -> DataFrame:
     """Elementary ranges between neighbouring distinct boundaries of each key."""
     points = df.select(*keys, F.col("valid_from").alias("since")).union(df.select(*keys, F.col("valid_to").alias("since"))).filter("since IS NOT NULL").distinct()
-    nxt = F.lead("at").over(Window.partitionBy(*keys).orderBy("since"))
+    nxt = F.lead("since").over(Window.partitionBy(*keys).orderBy("since"))
     return points.withColumn("until", nxt).filter("until IS NOT NULL")
 
 
@@ -31,7 +31,7 @@ def sweep_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     steps = df.select(*keys, F.col("valid_from").alias("since"), F.lit(1).alias("step")).union(df.select(*keys, F.col("valid_to").alias("since"), F.lit(-1).alias("step")))
     by_day = steps.filter("since IS NOT NULL").groupBy(*keys, "since").agg(F.sum("step").alias("step"))
     w = Window.partitionBy(*keys).orderBy("since")
-    out = by_day.withColumns({"until": F.lead("at").over(w), "active": F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0))})
+    out = by_day.withColumns({"until": F.lead("since").over(w), "active": F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0))})
     return out.filter("until IS NOT NULL").drop("step")
 
 
