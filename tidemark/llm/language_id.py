@@ -24,10 +24,14 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def _vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(texts), len(idf)), dtype=np.float32)
-    for i, text in enumerate(texts):
-        np.log1p(trigram_counts(text.lower().encode("utf-8", "surrogatepass"), len(idf)), out=out[i], casting="unsafe")
+def _counts(text: str) -> np.ndarray:
+    return trigram_counts(text.lower().encode("utf-8", "surrogatepass"), DIMS)
+
+
+def _vectors(counts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(counts), len(idf)), dtype=np.float32)
+    for i, c in enumerate(counts):
+        np.log1p(c, out=out[i], casting="unsafe")
     out *= idf
     norms = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(norms > 0, norms, 1)
@@ -57,7 +61,7 @@ class LanguageModel:
         out: list[tuple[str, float, bool]] = [("und", 0.0, True)] * len(texts)
         known = [i for i, t in enumerate(texts) if t and self.langs and has_letter(t)]
         if known:
-            cosines = _vectors([texts[i] for i in known], self.idf) @ self.centroids.T
+            cosines = _vectors([_counts(texts[i]) for i in known], self.idf) @ self.centroids.T
             best = cosines.argmax(axis=1)
             for row, (i, j) in enumerate(zip(known, best)):
                 score = float(min(1.0, max(0.0, cosines[row, j])))
@@ -75,7 +79,7 @@ def fit(train: DataFrame, sample: int = 3000, per_lang: int = 4, reject_share: f
         total, n = np.zeros(DIMS, dtype=np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                total += trigram_counts(text.lower().encode("utf-8", "surrogatepass"), DIMS) > 0
+                total += _counts(text) > 0
                 n += 1
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(DIMS), -1)), pa.array(np.append(total, n))], names=["bucket", "n"])
@@ -90,11 +94,20 @@ def fit(train: DataFrame, sample: int = 3000, per_lang: int = 4, reject_share: f
     idf = np.log((1 + n) / (1 + df)).astype(np.float32)
 
     ids = [r[0] for r in train.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample).collect()]
-    picked = train.filter(F.col("doc_id").isin(ids)).orderBy("doc_id", "lang", "text").limit(sample).select("lang", F.substring("text", 1, 20_000).alias("text")).collect() if ids else []
-    by_lang: dict[str, list[str]] = {}
-    for lang, text in picked:
-        if has_letter(text):
-            by_lang.setdefault(lang, []).append(text)
+    def sampled(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = [(d, la, _counts(t).astype("<u4").tobytes()) for d, la, t in zip(*(batch.column(i).to_pylist() for i in range(3))) if has_letter(t)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.string(), pa.binary()))], names=["doc_id", "lang", "counts"])
+
+    # whole texts are counted where they lie; the driver gets 4 * DIMS bytes for each sampled row
+    chosen = train.filter(F.col("doc_id").isin(ids)).select("doc_id", "lang", "text")
+    picked = chosen.mapInArrow(sampled, "doc_id long, lang string, counts binary").orderBy("doc_id", "lang", "counts").limit(sample).collect() if ids else []
+    by_lang: dict[str, list[np.ndarray]] = {}
+    for _, lang, counts in picked:
+        by_lang.setdefault(lang, []).append(np.frombuffer(counts, dtype="<u4"))
     centroids, langs, floors = [np.zeros((0, DIMS), dtype=np.float32)], [], []
     for lang in sorted(by_lang):
         x = _vectors(by_lang[lang], idf)
