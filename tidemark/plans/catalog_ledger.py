@@ -182,12 +182,12 @@ def rank_replay_ordered(spark, d):
 
 
 def rank_replay_anchored(spark, d):
-    li = table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.min("l_linenumber").alias("ln"))
-    w = Window.partitionBy("l_orderkey").orderBy("ln", "l_partkey")
+    li = table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min("l_linenumber").alias("ln"))
+    w = Window.partitionBy("l_suppkey").orderBy("ln", "l_partkey")
     member = F.col("l_partkey").cast("string")
     after = F.when(F.col("l_partkey") % 3 == 0, F.lag(member, 2).over(w))
-    obs = li.select("l_orderkey", F.row_number().over(w).alias("position"), member.alias("member"), after.alias("after"), F.lit(False).alias("full_roster"))
-    return ranking.replay_anchored(obs, ["l_orderkey"])
+    obs = li.select("l_suppkey", F.row_number().over(w).alias("position"), member.alias("member"), after.alias("after"), F.lit(False).alias("full_roster"))
+    return ranking.replay_anchored(obs, ["l_suppkey"])
 
 
 def infer_group_value(spark, d):
