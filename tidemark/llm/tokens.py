@@ -27,13 +27,14 @@ def default_tokenizer() -> str:
 class PieceEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, max_cached: int = 1_200_000):
+    def __init__(self, path: str, max_cached: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self._max, self._cache = max_cached, {}
+        self._again: set[str] = set()  # cached pieces that a later batch asked for
         newline = self._tok.encode("\n", add_special_tokens=False).ids
         # no id has the newline's low byte as its high one, so its bytes are found at whole ids only
         apart = len(newline) == 1 and 0 < newline[0] < 256 and self._tok.get_vocab_size() <= newline[0] << 8
@@ -51,28 +52,30 @@ class PieceEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Pieces without a newline are encoded together, with newlines between them."""
-        cache, joined = self._cache, []
-        for piece in new:
-            if self._between is None or "\n" in piece or not piece or piece.isspace():
-                cache[piece] = self._ids(piece) if piece else b""
-            else:
-                joined.append(piece)
-        for i in range(0, len(joined), 1024):
-            part = joined[i : i + 1024]
-            found = self._ids("\n".join(part)).split(self._between)
-            if len(found) == len(part):
-                cache.update(zip(part, found))
+        cache = self._cache
+        joined = [] if self._between is None else [p for p in new if p.strip() and "\n" not in p]
+        if len(joined) < len(new):
+            cache.update((p, self._ids(p) if p else b"") for p in set(new).difference(joined))
+        parts = [joined[i : i + 1024] for i in range(0, len(joined), 1024)]
+        for part, found in zip(parts, self._tok.encode_batch_fast(["\n".join(p) for p in parts], add_special_tokens=False)):
+            ids = array("I", found.ids).tobytes().split(self._between)
+            if len(ids) == len(part):
+                cache.update(zip(part, ids))
             else:
                 cache.update((piece, self._ids(piece)) for piece in part)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self._cache) > self._max:
-            self._cache.clear()
+            kept = self._again if 2 * len(self._again) < self._max else ()
+            self._cache = {p: self._cache[p] for p in kept}
+            self._again = set()
         cut = [self.pieces(t) if t else [] for t in texts]
         new = set()
         for pieces in cut:
             new.update(pieces)
-        self._learn(list(new.difference(self._cache)))
+        unknown = new.difference(self._cache)
+        self._again.update(new.difference(unknown))
+        self._learn(list(unknown))
         get = self._cache.__getitem__
         return [b"".join(map(get, pieces)) for pieces in cut]
 
