@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _WORDS: dict[bytes, int] = {}
-_MOST_WORDS = 600_000
+_MOST_WORDS = 120_000  # rare words outnumber common ones, which are soon back after a clearing
 
 U64 = np.uint64
 
