@@ -172,6 +172,44 @@ def test_repeated_passages_equal_brute_force(docs, rows):
     assert got == expected
 
 
+def variants(spark):
+    """Two documents hold a passage of 15 + 35 words; each has neighbours that share more on the right, but not the left.
+
+    No suffix is retained in the left part of the first, so only the one between the parts can find it.
+    """
+    rng, how = random.Random(11), suffixes.Passages()
+    while True:
+        left, right, first = words(rng, 15, 10_000), words(rng, 35, 10_000), words(rng, 30, 10_000)
+        if not any(30 <= p < 45 for p in suffixes.retained(suffixes.word_hashes(f"{first} {left} {right}".encode().split()), how)):
+            break
+    rows = []
+    for _ in range(2):
+        more = words(rng, 5, 10_000)
+        rows += [f"{words(rng, 30, 10_000) if rows else first} {words(rng, 15, 10_000) if i else left} {right} {more} {words(rng, 30, 10_000)}" for i in range(13)]
+    return spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(rows)], DOCS)
+
+
+def passages(docs, n=50):
+    """(words of each document in repeated passages by brute force, by the operator)."""
+    seen, expected, got = defaultdict(set), defaultdict(set), defaultdict(set)
+    split = {r.doc_id: r.text.split() for r in docs.collect()}
+    for d, w in split.items():
+        for i in range(len(w) - n + 1):
+            seen[tuple(w[i : i + n])].add(d)
+    for d, w in split.items():
+        for i in range(len(w) - n + 1):
+            if len(seen[tuple(w[i : i + n])]) > 1:
+                expected[d].update(range(i, i + n))
+    for r in suffixes.repeated_passages(docs).collect():
+        got[r.doc_id].update(range(r.start_word, r.end_word))
+    return expected, got
+
+
+def test_passage_whose_partner_is_not_the_nearest(spark):
+    expected, got = passages(variants(spark))
+    assert expected and got == expected
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {(r.id, r.component) for r in components(links).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}

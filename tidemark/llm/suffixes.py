@@ -7,9 +7,10 @@ retained suffix among its first ``window`` words, and the suffix shares the
 ``min_words - window + 1`` words from there (the seed).
 
 Suffixes whose seed occurs in two different texts are sorted by content over the
-whole cluster (a range sort that also deals out one common passage), compared
-with their neighbours from other documents, and extended right and left word by
-word. Spans of one document are then merged.
+whole cluster (a range sort that also deals out one common passage). A passage that
+begins some words before its retained suffix is shared by the suffixes of one block
+of the order (enough common content) that also have these words before them. Spans
+of one document are then merged.
 """
 
 from __future__ import annotations
@@ -144,6 +145,57 @@ def _span(row: tuple, other: tuple, how: Passages) -> tuple | None:
     return (doc_id, t1, pos - left, pos + right, other[1]) if left + right >= how.min_words else None
 
 
+def _matrix(column, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts as rows of ``width`` words (zeros behind the shorter ones), and their lengths."""
+    contexts = column.to_pylist()
+    lengths = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts)) // 4
+    out = np.zeros((len(contexts), width), dtype=np.uint32)
+    out[np.arange(width) < lengths[:, None]] = np.frombuffer(b"".join(contexts), dtype=">u4")
+    return out, lengths
+
+
+def _blocks(table, how: Passages):
+    """For each number of words before a suffix: the sorted suffixes that have one passage in common.
+
+    Yields (words before, rows, first of each group in rows, group of each row). Suffixes
+    of one group share ``min_words`` words: the block of the order whose common content
+    is long enough, divided by the words before it.
+    """
+    seed = table.column("seed").to_numpy()
+    words, right = _matrix(table.column("content"), how.ahead)
+    back, left = _matrix(table.column("before"), how.window)
+    differ = words[1:] != words[:-1]
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), how.ahead)
+    shared = np.minimum(shared, np.minimum(right[1:], right[:-1]))
+    shared[seed[1:] != seed[:-1]] = 0
+    behind = np.zeros(len(seed), dtype=U64)
+    for n in range(how.window):
+        if n:
+            behind = mixed(behind * U64(0x9E3779B97F4A7C15) + back[:, n - 1] + U64(n))
+        block = np.concatenate([[0], np.cumsum(shared < how.min_words - n)])
+        rows = np.flatnonzero((left >= n) & (right >= how.min_words - n))
+        if not len(rows):
+            continue
+        rows = rows[np.lexsort((behind[rows], block[rows]))]
+        opens = (block[rows[1:]] != block[rows[:-1]]) | (behind[rows[1:]] != behind[rows[:-1]])
+        yield n, rows, np.flatnonzero(np.concatenate([[True], opens])), np.concatenate([[0], np.cumsum(opens)])
+
+
+def _shared_passages(table, how: Passages) -> tuple[np.ndarray, ...]:
+    """doc_id, t1, start, end and other document of the suffixes in passages of two documents."""
+    doc, t1, pos = (table.column(c).to_numpy() for c in ("doc_id", "t1", "pos"))
+    start, end, other = pos.astype(np.int64), np.full(len(doc), -1), np.full(len(doc), np.iinfo(np.int64).max)
+    for n, rows, first, group in _blocks(table, how):
+        lo, hi = (f.reduceat(doc[rows], first)[group] for f in (np.minimum, np.maximum))
+        two = lo < hi
+        rows, lo, hi = rows[two], lo[two], hi[two]
+        start[rows] = pos[rows] - n
+        end[rows] = np.maximum(end[rows], pos[rows] - n + how.min_words)
+        other[rows] = np.minimum(other[rows], np.where(doc[rows] == lo, hi, lo))
+    found = end >= 0
+    return doc[found], t1[found], start[found], end[found], other[found]
+
+
 def _neighbours(rows: list[tuple], how: Passages):
     """Spans from comparing each suffix with the nearest ones of other documents, both ways."""
     for ordered in (rows, rows[::-1]):
@@ -179,12 +231,14 @@ def _compare(suffixes: DataFrame, how: Passages) -> DataFrame:
         import pyarrow as pa
 
         part = TaskContext.get().partitionId()
-        rows: list[tuple] = []
-        for batch in batches:
-            rows.extend(zip(*(batch.column(i).to_pylist() for i in range(7))))
+        batches = list(batches)
+        if not batches:
+            return
+        table = pa.Table.from_batches(batches)
+        rows = list(zip(*(c.to_pylist() for c in table.columns)))
         names = [x.split()[0] for x in SPANS.split(", ")]
         kinds = [*[pa.int64()] * 5, pa.int32(), pa.int32(), pa.binary()]
-        out = [(*s, None, part, None) for s in _neighbours(rows, how)]
+        out = [(*s, None, part, None) for s in zip(*(c.tolist() for c in _shared_passages(table, how)))]
         if rows:
             out += [(None, None, None, None, None, k, part, pickle.dumps(rows[i])) for k, i in enumerate(_edge_rows(rows))]
         for lo in range(0, len(out), 8192):
