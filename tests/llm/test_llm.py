@@ -210,6 +210,19 @@ def test_passage_whose_partner_is_not_the_nearest(spark):
     assert expected and got == expected
 
 
+def test_self_repeats_across_partitions(spark):
+    rng, n = random.Random(12), spark.conf.get("spark.sql.shuffle.partitions")
+    passage = words(rng, 60, 10_000)
+    texts = [" ".join(f"{passage} {words(rng, 20, 10_000)}" for _ in range(40)), f"{words(rng, 30, 10_000)} {passage}"]
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS)
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        expected, got = passages(df)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+    assert len(expected) == 2 and got == expected
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {(r.id, r.component) for r in components(links).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}

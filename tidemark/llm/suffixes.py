@@ -9,16 +9,17 @@ retained suffix among its first ``window`` words, and the suffix shares the
 Suffixes whose seed occurs in two different texts are sorted by content over the
 whole cluster (a range sort that also deals out one common passage). A passage that
 begins some words before its retained suffix is shared by the suffixes of one block
-of the order (enough common content) that also have these words before them. Spans
-of one document are then merged.
+of the order (enough common content) that also have these words before them; the
+first and last seed of each partition are matched with the other partitions by
+passage. Spans of one document are then merged.
 """
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,11 +42,6 @@ class Passages:
     def seed(self) -> int:
         return self.min_words - self.window + 1
 
-    @property
-    def ahead(self) -> int:
-        """Words compared from a suffix on; the next retained suffix takes over from there."""
-        return self.min_words + self.window
-
 
 def retained(h: np.ndarray, how: Passages) -> np.ndarray:
     """Positions (with a whole seed behind them) that are the smallest of some window."""
@@ -115,7 +111,7 @@ def _contexts(docs: DataFrame, places: DataFrame, how: Passages, broadcast_rows:
                     words = (h >> U64(32)).astype(">u4")
                     back = words[::-1]
                     for pos in at:
-                        content = words[pos : pos + how.ahead].tobytes()
+                        content = words[pos : pos + how.min_words].tobytes()
                         begin = len(h) - pos
                         rows.append((int(seeds[pos].view(np.int64)), doc_id, t1, pos, len(h), content, back[begin : begin + how.window].tobytes()))
                 if rows:
@@ -124,27 +120,6 @@ def _contexts(docs: DataFrame, places: DataFrame, how: Passages, broadcast_rows:
     return chosen.select("doc_id", "text", "t1", "at").mapInArrow(run, SUFFIXES)
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """Leading words that two contexts share."""
-    n = min(len(a), len(b)) // 4
-    if a[: 4 * n] == b[: 4 * n]:
-        return n
-    x, y = np.frombuffer(a, dtype=">u4", count=n), np.frombuffer(b, dtype=">u4", count=n)
-    return int((x != y).argmax())
-
-
-def _span(row: tuple, other: tuple, how: Passages) -> tuple | None:
-    """(doc_id, first word, word after the last, other doc_id) if the two share enough."""
-    seed, doc_id, t1, pos, n, content, before = row
-    if other[0] != seed:
-        return None
-    right = _common(content, other[5])
-    if right < how.seed:
-        return None
-    left = _common(before, other[6])
-    return (doc_id, t1, pos - left, pos + right, other[1]) if left + right >= how.min_words else None
-
-
 def _matrix(column, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Contexts as rows of ``width`` words (zeros behind the shorter ones), and their lengths."""
     contexts = column.to_pylist()
@@ -162,10 +137,10 @@ def _blocks(table, how: Passages):
     is long enough, divided by the words before it.
     """
     seed = table.column("seed").to_numpy()
-    words, right = _matrix(table.column("content"), how.ahead)
+    words, right = _matrix(table.column("content"), how.min_words)
     back, left = _matrix(table.column("before"), how.window)
     differ = words[1:] != words[:-1]
-    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), how.ahead)
+    shared = np.where(differ.any(axis=1), differ.argmax(axis=1), how.min_words)
     shared = np.minimum(shared, np.minimum(right[1:], right[:-1]))
     shared[seed[1:] != seed[:-1]] = 0
     behind = np.zeros(len(seed), dtype=U64)
@@ -196,66 +171,66 @@ def _shared_passages(table, how: Passages) -> tuple[np.ndarray, ...]:
     return doc[found], t1[found], start[found], end[found], other[found]
 
 
-def _neighbours(rows: list[tuple], how: Passages):
-    """Spans from comparing each suffix with the nearest ones of other documents, both ways."""
-    for ordered in (rows, rows[::-1]):
-        last, other = None, None  # the row before, and the nearest one before of another document
-        for row in ordered:
-            if last is not None and last[1] != row[1]:
-                other = last
-            last = row
-            if other is not None and other[1] != row[1]:
-                found = _span(row, other, how)
-                if found:
-                    yield found
-
-
-SPANS = "doc_id long, t1 long, start long, end long, other long, edge int, part int, row binary"
-
-
-def _edge_rows(rows: list[tuple]) -> list[int]:
-    """Indices of the first and last row, and of the nearest ones to them of another document."""
-    picked = set()
-    for order in (range(len(rows)), range(len(rows) - 1, -1, -1)):
-        first = order[0]
-        picked |= {first, next((i for i in order if rows[i][1] != rows[first][1]), first)}
-    return sorted(picked)
+SPANS = "doc_id long, t1 long, start long, end long, other long, passage binary, lo long, hi long, starts array<long>"
 
 
 def _compare(suffixes: DataFrame, how: Passages) -> DataFrame:
-    """Spans within each sorted partition, and its edge rows for the partitions beside it."""
+    """Spans within each sorted partition, and the passages of its first and last seed for the others."""
 
     def run(batches):
-        import pickle
-
         import pyarrow as pa
 
-        part = TaskContext.get().partitionId()
-        batches = list(batches)
+        batches = [b for b in batches if b.num_rows]
         if not batches:
             return
         table = pa.Table.from_batches(batches)
-        rows = list(zip(*(c.to_pylist() for c in table.columns)))
         names = [x.split()[0] for x in SPANS.split(", ")]
-        kinds = [*[pa.int64()] * 5, pa.int32(), pa.int32(), pa.binary()]
-        out = [(*s, None, part, None) for s in zip(*(c.tolist() for c in _shared_passages(table, how)))]
-        if rows:
-            out += [(None, None, None, None, None, k, part, pickle.dumps(rows[i])) for k, i in enumerate(_edge_rows(rows))]
-        for lo in range(0, len(out), 8192):
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[lo : lo + 8192]), kinds)], names=names)
+        kinds = [*[pa.int64()] * 5, pa.binary(), *[pa.int64()] * 2, pa.list_(pa.int64())]
+        found = _shared_passages(table, how)
+        for lo in range(0, len(found[0]), 8192):
+            part = [pa.array(c[lo : lo + 8192], pa.int64()) for c in found]
+            yield pa.RecordBatch.from_arrays([*part, *(pa.nulls(len(part[0]), k) for k in kinds[5:])], names=names)
+        seed = table.column("seed").to_numpy()
+        edges = _edge_passages(table.filter(pa.array((seed == seed[0]) | (seed == seed[-1]))), how)
+        while out := list(itertools.islice(edges, 8192)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     n = max(1, int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = suffixes.repartitionByRange(n, "seed", "content", "doc_id", "pos").sortWithinPartitions("seed", "content", "doc_id", "pos")
     return ordered.mapInArrow(run, SPANS)
 
 
-def _across(found: DataFrame, how: Passages) -> list[tuple]:
-    """Spans between the edges of partitions: at most four rows a partition, on the driver."""
-    import pickle
+def _edge_passages(table, how: Passages):
+    """A row for each passage: its identity, its smallest and largest document and, if these are one, its places.
+
+    The places of passages of two documents are spans already.
+    """
+    import xxhash
 
-    edges = found.filter("edge IS NOT NULL").select("part", "edge", "row").orderBy("part", "edge").collect()
-    rows = [pickle.loads(r.row) for r in edges]
-    return list(dict.fromkeys(_neighbours(rows, how)))
+    seed, doc, t1, pos = (table.column(c).to_numpy() for c in ("seed", "doc_id", "t1", "pos"))
+    content, before = table.column("content"), table.column("before")
+    for n, rows, first, _ in _blocks(table, how):
+        for members in np.split(rows, first[1:]):
+            at = int(members[0])
+            words = before[at].as_py()[: 4 * n] + content[at].as_py()[: 4 * (how.min_words - n)]
+            passage = xxhash.xxh3_128_digest(int(seed[at]).to_bytes(8, "little", signed=True) + bytes([n]) + words)
+            lo, hi = int(doc[members].min()), int(doc[members].max())
+            if lo < hi:
+                yield (None, None, None, None, None, passage, lo, hi, None)
+                continue
+            for text in np.unique(t1[members]):
+                yield (lo, int(text), None, None, None, passage, lo, hi, (pos[members[t1[members] == text]] - n).tolist())
+
+
+def _across(found: DataFrame, how: Passages, broadcast_rows: int) -> DataFrame:
+    """Spans of passages whose documents lie in different partitions."""
+    edges = found.filter("passage IS NOT NULL")
+    two = edges.groupBy("passage").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi")).filter("_lo <> _hi")
+    two = small(cut(two, "edge-passages"), broadcast_rows // 4)
+    spans = edges.filter("starts IS NOT NULL").join(two, "passage")
+    other = F.when(F.col("doc_id") == F.col("_lo"), F.col("_hi")).otherwise(F.col("_lo")).alias("other")
+    spans = spans.select("doc_id", "t1", F.explode("starts").alias("start"), other)
+    return spans.select("doc_id", "t1", "start", (F.col("start") + how.min_words).alias("end"), "other")
 
 
 def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_rows: int = 4_000_000) -> DataFrame:
@@ -264,9 +239,9 @@ def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_row
     Texts that are equal and have at least ``min_words`` words are whole spans; of
     these only the smallest doc_id is compared with other texts. Null, empty and
     short texts and null doc_ids have no spans; repeats inside one document only
-    are left alone. An empty table gives no rows.
+    are left alone. An empty table gives no rows. other_doc_id is one of the other
+    documents; with several, which one can depend on the partitions, the words can't.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     rows = cut(_scan(docs, how), "suffixes")
     texts = rows.filter(F.col("kind") == 0).filter(F.col("n_words") >= how.min_words)
@@ -280,8 +255,7 @@ def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_row
     places = cut(places.select("doc_id", "t1", "pos").join(first, ["doc_id", "t1"]).distinct(), "contested-suffixes")
 
     found = cut(_compare(_contexts(docs, places, how, broadcast_rows), how), "spans")
-    edge = spark.createDataFrame(_across(found, how), "doc_id long, t1 long, start long, end long, other long")
-    spans = found.filter("edge IS NULL").select("doc_id", "t1", "start", "end", "other").unionByName(edge)
+    spans = found.filter("passage IS NULL").select("doc_id", "t1", "start", "end", "other").unionByName(_across(found, how, broadcast_rows))
 
     # spans that touch or overlap become one
     order = Window.partitionBy("doc_id", "t1").orderBy("start", "end")
