@@ -35,3 +35,17 @@ def test_query_equals_sql(spark, name):
     assert sorted(got.columns) == columns
     at = [expected.columns.index(c) for c in columns]
     assert ordered(got.select(columns).collect()) == ordered([r[i] for i in at] for r in expected.fetchall())
+
+
+def test_every_customer_is_resolved(spark):
+    """By an own loop over all customers; the query's SQL takes the even ones only."""
+    customers = duckdb.sql(f"SELECT c_custkey, right(c_name, 3), c_nationkey, c_mktsegment FROM '{DATA}/customer.parquet'").fetchall()
+    expected = set()
+    for key, last, nation, segment in customers:
+        left = [c for c in customers if c[1] == last]
+        left = [c for c in left if c[2] == nation] or left
+        left = [c for c in left if c[3] == segment] or left
+        if len({c[0] for c in left}) == 1:
+            expected.add((key, left[0][0]))
+    got = {(r.q, r.c_custkey) for r in catalog.QUERIES["resolve_entities"](spark, DATA).collect()}
+    assert any(q % 2 for q, _ in expected) and got == expected

@@ -164,7 +164,7 @@ def observed_snapshot(spark, d):
 def resolve_entities(spark, d):
     """Customers by the last three digits of their name, narrowed by nation, then segment."""
     c = table(spark, d, "customer").select("c_custkey", F.substring("c_name", -3, 3).alias("last"), "c_nationkey", "c_mktsegment")
-    q = c.select(F.col("c_custkey").alias("q"), "last", F.col("c_nationkey").alias("qn"), F.col("c_mktsegment").alias("qs")).filter("q % 2 = 0")
+    q = c.select(F.col("c_custkey").alias("q"), "last", F.col("c_nationkey").alias("qn"), F.col("c_mktsegment").alias("qs"))
     met = q.join(c, "last")
     left = scoring.narrow(met, ["q"], F.col("qn") == F.col("c_nationkey"), F.col("qs") == F.col("c_mktsegment"))
     return scoring.unique(left, ["q"], "c_custkey")
