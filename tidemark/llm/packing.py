@@ -5,7 +5,7 @@ whole sequences and then into pieces that fill a slot nearly or exactly; each
 class j takes exactly j pieces a sequence. Every worker fills the bins of its
 own classes while it streams, so no text is shuffled; the few pieces left in
 open bins (fewer than j for each worker and class) are dealt into bins of their
-class once more.
+class once more, for each share of 256 neighbouring workers by itself.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from .tokens import default_tokenizer, encoded_batches
 #: Reciprocals: class j holds pieces of at most capacity // j ids, j to a sequence.
 CLASSES = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64)
 
+#: Workers of one share, as a power of two: a share leaves at most one open bin a class.
+WORKERS_BITS = 8
+
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class int, worker long, bin long, offset long"
 
 
@@ -50,8 +53,9 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, class.
 
     Null text is an empty document (its end id only); null and repeated doc_ids
-    are packed row by row; an empty table gives no rows. Sequence ids are unique
-    and depend on the table's splits.
+    are packed row by row, equal rows each for itself; a long text is cut into whole
+    sequences and a rest; other columns are not read. An empty table gives no rows.
+    Sequence ids are unique and depend on the table's splits.
     """
     path = tokenizer or default_tokenizer()
 
@@ -69,11 +73,12 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
             rows.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-        for docs_ in encoded_batches(batches, path, end_id):
-            for doc_id, ids in docs_:
-                n, start = len(ids) // 4, 0
+        for doc_ids, ids, at in encoded_batches(batches, path, end_id):
+            whole = memoryview(ids).cast("B")
+            for doc_id, lo, hi in zip(doc_ids, at[:-1].tolist(), at[1:].tolist()):
+                n, start = hi - lo, 0
                 for j, length in cut_lengths(n, capacity):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
+                    crc = zlib.crc32(whole[4 * (lo + start) : 4 * (lo + start + length)])
                     waiting[j].append((doc_id, start, length, crc, n, j))
                     start += length
                     if len(waiting[j]) == j:
@@ -83,8 +88,8 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
                             offset += piece[2]
                         waiting[j].clear()
                         n_bins += 1
-            if len(rows) >= 4096:
-                yield flush()
+                if len(rows) >= 4096:
+                    yield flush()
         for j in CLASSES:
             rows.extend((*piece, worker, None, k) for k, piece in enumerate(waiting[j]))
         if rows:
@@ -93,9 +98,11 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
     pieces = cut(docs.select("doc_id", "text").mapInArrow(fill, PIECES), "pieces")
     result = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "class"]
     full = pieces.filter("bin IS NOT NULL").withColumn("sequence_id", F.shiftleft("worker", 32) + F.col("bin"))
-    of_class = Window.partitionBy("class").orderBy("worker", "offset")
-    left = pieces.filter("bin IS NULL").withColumn("bin", F.floor((F.row_number().over(of_class) - 1) / F.col("class")))
-    in_bin = Window.partitionBy("class", "bin").orderBy("worker", "offset").rowsBetween(Window.unboundedPreceding, -1)
-    left = left.withColumn("sequence_id", F.lit(1 << 62) + F.shiftleft(F.col("class").cast("long"), 40) + F.col("bin"))
+    left = pieces.filter("bin IS NULL").withColumn("share", F.shiftright("worker", WORKERS_BITS))
+    of_class = Window.partitionBy("share", "class").orderBy("worker", "offset")
+    left = left.withColumn("bin", F.floor((F.row_number().over(of_class) - 1) / F.col("class")))
+    in_bin = Window.partitionBy("share", "class", "bin").orderBy("worker", "offset").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.shiftleft(F.col("class").cast("long"), 52) + F.shiftleft("share", 20) + F.col("bin")
+    left = left.withColumn("sequence_id", F.lit(1 << 62) + place)
     left = left.withColumn("offset", F.coalesce(F.sum("length").over(in_bin), F.lit(0)).cast("long"))
     return full.select(result).unionByName(left.select(result))

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 
 import numpy as np
 from pyspark import TaskContext
@@ -50,11 +51,12 @@ class TokenFileWriter:
         self._zstd = zstandard.ZstdCompressor(level=level)
         self._open, self._filled = [], 0
         self._frames: list[tuple[int, int, int]] = []
-        self._index: list[tuple[int, int, int, int]] = []
+        self._index = [array("B"), array("q"), array("Q"), array("Q")]  # the columns of INDEX
         self.n_ids = 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        self._index.append((doc_id is not None, doc_id or 0, self.n_ids, len(ids) // 4))
+    def add(self, doc_id: int | None, ids: bytes | memoryview) -> None:
+        for column, value in zip(self._index, (doc_id is not None, doc_id or 0, self.n_ids, len(ids) // 4)):
+            column.append(value)
         self.n_ids += len(ids) // 4
         while ids:
             part, ids = ids[: self._most - self._filled], ids[self._most - self._filled :]
@@ -75,7 +77,10 @@ class TokenFileWriter:
 
     def close(self) -> None:
         self._flush()
-        index = self._zstd.compress(np.array(self._index, dtype=INDEX).tobytes())
+        rows = np.empty(len(self._index[0]), dtype=INDEX)
+        for name, column in zip(INDEX.names, self._index):
+            rows[name] = column
+        index = self._zstd.compress(rows.tobytes())
         self._out.write(struct.pack("<II", SKIPPABLE_INDEX, len(index)) + index)
         self._frames.append((8 + len(index), 0, 0))
         table = b"".join(struct.pack("<III", *x) for x in self._frames)
@@ -141,8 +146,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
     """Encode ``text`` and write one file for each range of doc_id; returns the manifest.
 
     Manifest: part (ascending doc_id ranges), path, n_docs, n_ids. Null text counts
-    as empty, null doc_ids come first, rows of one doc_id are ordered by text. A
-    lost task writes the same bytes again under the same name: files are moved
+    as empty, null doc_ids come first, rows of one doc_id are ordered by text. A long
+    text runs over as many frames as it needs; other columns are not read. A lost task writes the same bytes again under the same name: files are moved
     into place when whole.
     """
     path = tokenizer or default_tokenizer()
@@ -153,13 +158,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
         fs, root = _filesystem(folder)
         name, out, writer, n = f"{root}/part-{part:05d}.tokens.zst", None, None, 0
-        for docs_ in encoded_batches(batches, path):
-            for doc_id, ids in docs_:
+        for doc_ids, ids, at in encoded_batches(batches, path):
+            whole = memoryview(ids).cast("B")
+            for doc_id, lo, hi in zip(doc_ids, at[:-1].tolist(), at[1:].tolist()):
                 if writer is None:
                     fs.create_dir(root, recursive=True)
                     out = fs.open_output_stream(f"{name}.{attempt}", compression=None)
                     writer = TokenFileWriter(out, frame_ids)
-                writer.add(doc_id, ids)
+                writer.add(doc_id, whole[4 * lo : 4 * hi])
                 n += 1
         if writer is not None:
             writer.close()
