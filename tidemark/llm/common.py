@@ -7,56 +7,77 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word is a run of characters other than the space and U+0009..U+000D.
-#: ``bytes.split()`` cuts at exactly these six, so it is the fast form of WORD.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
 
+#: Largest table, in bytes as ``table_bytes`` counts them, that is sent to every executor.
+BROADCAST_BYTES = 64 << 20
+
 _OWN_DIR: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, local runs) a local one is set.
+    Where the session names none, a local master gets a temporary one; on a cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIR:
-        _OWN_DIR[app] = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(_OWN_DIR[app])
-    return _OWN_DIR[app]
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    if context.applicationId not in _OWN_DIR:
+        _OWN_DIR[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        context.setCheckpointDir(_OWN_DIR[context.applicationId])
+    return _OWN_DIR[context.applicationId]
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends there."""
+def cut(df: DataFrame, tag: str, *folders: str) -> DataFrame:
+    """Write ``df`` once to the shared folder, in ``folders`` by these columns, and read it back: lineage ends there."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path) if folders else df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete every scratch table of this library; call it when no result is read any more."""
+    """Delete the scratch tables of this application; call it when no result is read any more."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tidemark")
+    path = jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is.
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of ``df`` as rows in memory: 32 a row, 8 a column, and what strings, binaries and arrays hold."""
+    held = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            held.append(F.octet_length(f.name))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            held.append(16 * F.size(f.name))
+    held = [F.coalesce(F.sum(h), F.lit(0)).cast("long") for h in held]
+    n, *sizes = df.agg(F.count(F.lit(1)), *held).first()
+    return n * (32 + 8 * len(df.columns)) + sum(sizes)
 
-    Give it a table that is cut, so that the count is a footer read.
+
+def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it takes at most ``max_bytes``, else as it is.
+
+    Give it a table that is cut: without strings and arrays the count is a footer read.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if table_bytes(df) <= max_bytes else df
 
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-

@@ -23,8 +23,9 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small
-from .sets import U64, mixed, window_hashes, word_hashes, words_of
+from .common import BROADCAST_BYTES, cut, small
+from .sets import STEP, U64, column_hashes, mixed, window_hashes, word_hashes
+from .tokens import text_slices
 
 TEXTS = "kind int, doc_id long, t1 long, t2 long, n_words long, seed long, pos int"
 SUFFIXES = "seed long, doc_id long, t1 long, pos int, n_words long, content binary, before binary"
@@ -57,10 +58,10 @@ def retained(h: np.ndarray, how: Passages) -> np.ndarray:
     return chosen[chosen < n]
 
 
-def _text_id(text: str) -> list[int]:
+def _text_id(raw: bytes | memoryview) -> np.ndarray:
     import xxhash
 
-    return np.frombuffer(xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass")), dtype="<i8").tolist()
+    return np.frombuffer(xxhash.xxh3_128_digest(raw), dtype="<i8")
 
 
 def _scan(docs: DataFrame, how: Passages) -> DataFrame:
@@ -72,50 +73,51 @@ def _scan(docs: DataFrame, how: Passages) -> DataFrame:
         kinds = [pa.int32(), *[pa.int64()] * 5, pa.int32()]
         names = [x.split()[0] for x in TEXTS.split(", ")]
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part, cols = batch.slice(lo, 256), [[] for _ in names]
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    h = word_hashes(words_of(text))
-                    t1, t2 = _text_id(text or "")
-                    at = retained(h, how)
-                    m = len(at)
-                    seeds = window_hashes(h, how.seed)[at].view(np.int64)
-                    for col, one, many in zip(cols, (0, doc_id, t1, t2, len(h), None, None), ([1] * m, [doc_id] * m, [t1] * m, [t2] * m, [len(h)] * m, seeds.tolist(), at.tolist())):
-                        col.append(one)
-                        col.extend(many)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+            doc_ids = batch.column(0).to_numpy()
+            for lo, data, offsets in text_slices(batch.column(1), STEP):
+                h, at = word_hashes(data, offsets)
+                m = len(at) - 1
+                seeds, doc, raw = window_hashes(h, how.seed).view(np.int64), doc_ids[lo : lo + m], memoryview(data)
+                ids = np.stack([_text_id(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])])
+                chosen = [retained(h[a:b], how) for a, b in zip(at[:-1], at[1:])]
+                text = np.repeat(np.arange(m), [len(c) for c in chosen])
+                pos, n_words = np.concatenate(chosen), np.diff(at)
+                none = pa.nulls(m, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((np.zeros(m, int), doc, ids[:, 0], ids[:, 1], n_words, none, none.cast(pa.int32())), kinds)], names=names)
+                if len(pos):
+                    cols = (np.ones(len(pos), int), doc[text], ids[text, 0], ids[text, 1], n_words[text], seeds[at[text] + pos], pos)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, TEXTS)
 
 
-def _contexts(docs: DataFrame, places: DataFrame, how: Passages, broadcast_rows: int) -> DataFrame:
+def _contexts(docs: DataFrame, places: DataFrame, how: Passages, broadcast_bytes: int) -> DataFrame:
     """The contested suffixes with the word hashes behind and (nearest first) before them."""
-    fits = places.count() <= broadcast_rows
     lists = cut(places.groupBy("doc_id", "t1").agg(F.sort_array(F.collect_list("pos")).alias("at")), "suffix-lists")
-    lists = lists.withColumnRenamed("doc_id", "_doc")
-    chosen = docs.select("doc_id", "text").join(F.broadcast(lists) if fits else lists, F.col("doc_id") == F.col("_doc"))
+    chosen = docs.select("doc_id", "text").join(small(lists, broadcast_bytes), "doc_id")
 
     def run(batches):
         import pyarrow as pa
 
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         names = [x.split()[0] for x in SUFFIXES.split(", ")]
+        pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 64):
-                part, rows = batch.slice(lo, 64), []
-                for doc_id, text, t1, at in zip(*(part.column(i).to_pylist() for i in range(4))):
-                    if _text_id(text or "")[0] != t1:  # another row under the same doc_id
-                        continue
-                    h = word_hashes(words_of(text))
-                    seeds = window_hashes(h, how.seed)
-                    words = (h >> U64(32)).astype(">u4")
-                    back = words[::-1]
-                    for pos in at:
-                        content = words[pos : pos + how.min_words].tobytes()
-                        begin = len(h) - pos
-                        rows.append((int(seeds[pos].view(np.int64)), doc_id, t1, pos, len(h), content, back[begin : begin + how.window].tobytes()))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+            doc_ids, t1s, lists_, rows = *(batch.column(i).to_pylist() for i in (0, 2, 3)), []
+            for i, h in column_hashes(batch.column(1)):
+                if int(_text_id((batch.column(1)[i].as_py() or "").encode())[0]) != t1s[i]:  # another row under the same doc_id
+                    continue
+                seeds = window_hashes(h, how.seed).view(np.int64)
+                words = (h >> U64(32)).astype(">u4")
+                ahead, back = memoryview(words.tobytes()), memoryview(words[::-1].tobytes())
+                for pos in lists_[i]:
+                    begin = len(h) - pos
+                    rows.append((int(seeds[pos]), doc_ids[i], t1s[i], pos, len(h), ahead[4 * pos : 4 * (pos + how.min_words)], back[4 * begin : 4 * (begin + how.window)]))
+                    if len(rows) == 4096:
+                        yield pack(rows)
+                        rows = []
+            if rows:
+                yield pack(rows)
 
     return chosen.select("doc_id", "text", "t1", "at").mapInArrow(run, SUFFIXES)
 
@@ -174,8 +176,11 @@ def _shared_passages(table, how: Passages) -> tuple[np.ndarray, ...]:
 SPANS = "doc_id long, t1 long, start long, end long, other long, passage binary, lo long, hi long, starts array<long>"
 
 
-def _compare(suffixes: DataFrame, how: Passages) -> DataFrame:
-    """Spans within each sorted partition, and the passages of its first and last seed for the others."""
+def _compare(suffixes: DataFrame, n_suffixes: int, how: Passages, per_task: int = 100_000) -> DataFrame:
+    """Spans within each sorted partition, and the passages of its first and last seed for the others.
+
+    A task holds its partition, about ``per_task`` suffixes, as arrays: partitions grow in number, not in size.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -195,7 +200,7 @@ def _compare(suffixes: DataFrame, how: Passages) -> DataFrame:
         while out := list(itertools.islice(edges, 8192)):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    n = max(1, int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_suffixes // per_task))
     ordered = suffixes.repartitionByRange(n, "seed", "content", "doc_id", "pos").sortWithinPartitions("seed", "content", "doc_id", "pos")
     return ordered.mapInArrow(run, SPANS)
 
@@ -222,24 +227,26 @@ def _edge_passages(table, how: Passages):
                 yield (lo, int(text), None, None, None, passage, lo, hi, (pos[members[t1[members] == text]] - n).tolist())
 
 
-def _across(found: DataFrame, how: Passages, broadcast_rows: int) -> DataFrame:
+def _across(found: DataFrame, how: Passages, broadcast_bytes: int) -> DataFrame:
     """Spans of passages whose documents lie in different partitions."""
     edges = found.filter("passage IS NOT NULL")
     two = edges.groupBy("passage").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi")).filter("_lo <> _hi")
-    two = small(cut(two, "edge-passages"), broadcast_rows // 4)
+    two = small(cut(two, "edge-passages"), broadcast_bytes)
     spans = edges.filter("starts IS NOT NULL").join(two, "passage")
     other = F.when(F.col("doc_id") == F.col("_lo"), F.col("_hi")).otherwise(F.col("_lo")).alias("other")
     spans = spans.select("doc_id", "t1", F.explode("starts").alias("start"), other)
     return spans.select("doc_id", "t1", "start", (F.col("start") + how.min_words).alias("end"), "other")
 
 
-def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_rows: int = 4_000_000) -> DataFrame:
+def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, start_word, end_word (exclusive), n_words (of the text), other_doc_id: a row for each span.
 
     Texts that are equal and have at least ``min_words`` words are whole spans; of
     these only the smallest doc_id is compared with other texts. Null, empty and
     short texts and null doc_ids have no spans; repeats inside one document only
-    are left alone. An empty table gives no rows. other_doc_id is one of the other
+    are left alone. Texts are read whole, however long; other columns are not read. Rows of
+    one doc_id with different texts are one document, whose spans may be given for each.
+    An empty table gives no rows. other_doc_id is one of the other
     documents; with several, which one can depend on the partitions, the words can't.
     """
     docs = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -250,12 +257,12 @@ def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_row
 
     seeds = rows.filter("kind = 1").groupBy("seed").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).filter("lo <> hi").select("seed")
     seeds = cut(seeds, "contested-seeds")
-    places = rows.filter("kind = 1").select("seed", "doc_id", "t1", "pos").join(small(seeds, broadcast_rows // 4), "seed")
-    first = small(same.select(F.col("rep").alias("doc_id"), "t1"), broadcast_rows // 4)
+    places = rows.filter("kind = 1").select("seed", "doc_id", "t1", "pos").join(small(seeds, broadcast_bytes), "seed")
+    first = small(same.select(F.col("rep").alias("doc_id"), "t1"), broadcast_bytes)
     places = cut(places.select("doc_id", "t1", "pos").join(first, ["doc_id", "t1"]).distinct(), "contested-suffixes")
 
-    found = cut(_compare(_contexts(docs, places, how, broadcast_rows), how), "spans")
-    spans = found.filter("passage IS NULL").select("doc_id", "t1", "start", "end", "other").unionByName(_across(found, how, broadcast_rows))
+    found = cut(_compare(_contexts(docs, places, how, broadcast_bytes), places.count(), how), "spans")
+    spans = found.filter("passage IS NULL").select("doc_id", "t1", "start", "end", "other").unionByName(_across(found, how, broadcast_bytes))
 
     # spans that touch or overlap become one
     order = Window.partitionBy("doc_id", "t1").orderBy("start", "end")
@@ -266,7 +273,7 @@ def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_row
     single = same.filter("rep = last").select(F.col("rep").alias("doc_id"), "t1", "n_words")
     spans = spans.join(single, ["doc_id", "t1"]).select("doc_id", "start_word", "end_word", "n_words", "other_doc_id")
 
-    groups = small(cut(same.filter("rep < last").select("t1", "t2", "rep", "last"), "copies"), broadcast_rows // 4)
+    groups = small(cut(same.filter("rep < last").select("t1", "t2", "rep", "last"), "copies"), broadcast_bytes)
     whole = texts.select("doc_id", "t1", "t2", "n_words").join(groups, ["t1", "t2"])
     other = F.when(F.col("doc_id") == F.col("rep"), F.col("last")).otherwise(F.col("rep"))
     whole = whole.select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), "n_words", other.alias("other_doc_id"))
