@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, n_words, small
+from .common import BROADCAST_BYTES, cut, n_words, small
 
 #: Buckets of the order in [0, 1): each source's prefix is found by bucket sums first.
 BUCKETS = 4096
@@ -53,17 +53,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     return _fill(sums, [], "weight", "cap", total).select("source", "source_size", F.col("filled").alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, short_words: int = 50, broadcast_rows: int = 100_000) -> DataFrame:
-    """All columns of ``docs`` and six more (``mix_`` prefix): size, source_size, target, copies, taken.
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, short_words: int = 50, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """All columns of ``docs`` and five more (``mix_`` prefix): size, source_size, target, copies, taken.
 
     Documents of under ``short_words`` words have half the weight of others, so
     half the expected copies, within their source. Null text has size 0; a null
-    source is one source, the last; rows alike in doc_id and text share their
-    fate. No document is taken more than ``most`` times. An empty table gives none.
+    source is one source, the last; a source without words has target 0; rows alike in
+    doc_id and text share their fate. No document is taken more than ``most`` times.
+    Input columns with the new names are replaced; no other name clashes. An empty
+    table gives none.
     """
-    base = docs.withColumns({"mix_size": n_words(F.col("text")), "_key": uniform_key(F.col("doc_id"), F.col("text"))})
-    base = base.withColumn("_class", F.when(F.col("mix_size") < short_words, 1).otherwise(2))
-    sizes = cut(base.select("source", F.col("mix_size").alias("size"), F.col("_class").alias("class"), F.col("_key").alias("key")), "mix-sizes")
+    # the input's columns travel in one struct, so that none can clash with the working ones
+    base = docs.select(F.struct("*").alias("row"), n_words(F.col("text")).alias("size"), uniform_key(F.col("doc_id"), F.col("text")).alias("key"), "source")
+    base = base.withColumn("class", F.when(F.col("size") < short_words, 1).otherwise(2))
+    sizes = cut(base.select("source", "size", "class", "key"), "mix-sizes")
 
     targets = source_targets(sizes, weights, most)
     groups = sizes.groupBy("source", "class").agg(F.sum("size").alias("class_size"))
@@ -77,14 +80,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, sh
     groups = cut(groups.withColumn("rest", rest).select("source", "class", "source_size", "target", "whole", "p", "rest"), "mix-groups")
 
     match = lambda a, b: a["source"].eqNullSafe(b["source"]) & (a["class"] == b["class"])
-    ranked = sizes.join(small(groups, broadcast_rows), match(sizes, groups)).select(sizes["source"], "size", "key", "p", "rest").filter("p > 0")
+    ranked = sizes.join(small(groups, broadcast_bytes), match(sizes, groups)).select(sizes["source"], "size", "key", "p", "rest").filter("p > 0")
     ranked = ranked.withColumn("q", _order(F.col("key"), F.col("p"))).withColumn("bucket", _bucket(F.col("q")))
     sums = ranked.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     sums = sums.withColumn("upto", F.sum("words").over(upto))
     edge = sums.filter("upto > rest").groupBy("source").agg(F.min_by(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before")), "bucket").alias("e"))
     edge = cut(edge.select("source", "e.bucket", "e.before"), "mix-edges")
-    near = ranked.join(small(edge.withColumnsRenamed({"source": "_s", "bucket": "_b"}), broadcast_rows), F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
+    near = ranked.join(small(edge.withColumnsRenamed({"source": "_s", "bucket": "_b"}), broadcast_bytes), F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
     order = Window.partitionBy("source").orderBy("q", "key").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     last = near.withColumn("_before", before).filter(2 * F.col("_before") + F.col("size") <= 2 * F.col("rest"))
@@ -95,17 +98,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, sh
         F.col("source").alias("_source"), F.col("class").alias("_of"), F.col("source_size").alias("mix_source_size"),
         F.col("target").alias("mix_target"), "whole", "p", F.coalesce("bucket", F.lit(BUCKETS)).alias("edge"), "last",
     )
-    plan = small(cut(plan, "mix-plan"), broadcast_rows)
-    targets = small(cut(targets.select(F.col("source").alias("_source2"), F.col("source_size").alias("_size2"), F.col("target").alias("_target2")), "mix-targets"), broadcast_rows)
-    out = base.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_class") == F.col("_of")), "left")
+    plan = small(cut(plan, "mix-plan"), broadcast_bytes)
+    targets = small(cut(targets.select(F.col("source").alias("_source2"), F.col("source_size").alias("_size2"), F.col("target").alias("_target2")), "mix-targets"), broadcast_bytes)
+    out = base.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("class") == F.col("_of")), "left")
     out = out.join(targets, F.col("source").eqNullSafe(F.col("_source2")), "left")
-    q = F.when(F.col("p") > 0, _order(F.col("_key"), F.col("p")))
-    drawn = (_bucket(q) < F.col("edge")) | ((_bucket(q) == F.col("edge")) & (F.struct(q.alias("q"), F.col("_key").alias("key")) <= F.col("last")))
+    q = F.when(F.col("p") > 0, _order(F.col("key"), F.col("p")))
+    drawn = (_bucket(q) < F.col("edge")) | ((_bucket(q) == F.col("edge")) & (F.struct(q.alias("q"), F.col("key").alias("key")) <= F.col("last")))
     copies = F.coalesce(F.col("whole"), F.lit(0)) + F.when(F.coalesce(drawn, F.lit(False)), 1).otherwise(0)
-    return out.select(
-        *docs.columns, "mix_size", F.col("_size2").alias("mix_source_size"), F.col("_target2").alias("mix_target"),
-        copies.cast("long").alias("mix_copies"), (copies * F.col("mix_size")).cast("long").alias("mix_taken"),
-    )
+    figures = {"mix_size": F.col("size"), "mix_source_size": F.col("_size2"), "mix_target": F.col("_target2"), "mix_copies": copies.cast("long"), "mix_taken": (copies * F.col("size")).cast("long")}
+    return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in figures), *(f.alias(c) for c, f in figures.items()))
 
 
 def _order(key: Column, p: Column) -> Column:
@@ -119,5 +120,5 @@ def _bucket(q: Column) -> Column:
 
 def repeat_copies(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each row of mix() as often as it was taken."""
-    copy = F.explode(F.sequence(F.lit(1), F.col("mix_copies")))
-    return mixed.filter("mix_copies > 0").select(*columns, copy.alias("_copy")).drop("_copy")
+    row, copy = F.struct(*columns).alias("row"), F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("copy")
+    return mixed.filter("mix_copies > 0").select(row, copy).select("row.*")
