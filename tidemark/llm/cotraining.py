@@ -2,9 +2,10 @@
 
 The text view sees hashed byte trigrams and shape figures of the text; the
 metadata view sees source, language and length. Both are logistic regressions.
-Over some rounds each view labels the pool documents it is surest of, and these
-join the other view's training rows. Held-out labels then calibrate each view
-(Platt scaling) and weigh the two calibrated views against each other.
+Over some rounds each view labels the documents it is surest of, out of all that have
+no label, and these join the other view's training rows. Held-out labels then
+calibrate each view by itself (Platt scaling) and weigh the two calibrated views;
+neither slope nor weight can be negative.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
 from .features import SHAPE, shape, trigram_counts
 
 GRAMS, META = 1024, 64
@@ -68,111 +70,209 @@ class Logistic:
         return ((x - self.mean) / self.scale) @ self.w + self.b
 
 
+def _log_loss(logits: np.ndarray, y: np.ndarray) -> float:
+    return float(np.logaddexp(0, np.where(y > 0.5, -logits, logits)).mean())
+
+
+@dataclass
+class Platt:
+    """A view's logit to a calibrated one: slope (not negative) and offset."""
+
+    slope: float
+    offset: float
+
+    @classmethod
+    def fit(cls, logits: np.ndarray, y: np.ndarray) -> "Platt":
+        one = Logistic.fit(logits[:, None], y, l2=1e-2, steps=300)
+        slope = float(one.w[0] / one.scale[0])
+        if slope <= 0:  # the view says nothing about held-out rows: its prior remains
+            share = float(np.clip(y.mean(), 0.01, 0.99))
+            return cls(0.0, float(np.log(share / (1 - share))))
+        return cls(slope, float(one.b - slope * one.mean[0]))
+
+    def __call__(self, logits: np.ndarray) -> np.ndarray:
+        return self.slope * logits + self.offset
+
+
+#: Weights that are tried for each calibrated view.
+WEIGHTS = np.arange(0, 1.51, 0.25)
+
+
 @dataclass
 class CoTrained:
-    """Both views, their calibrations and how much each counts."""
+    """Both views, the calibration of each and how much each counts; without views everything is kept."""
 
-    text: Logistic | None
-    meta: Logistic | None
-    mix: Logistic | None
-    base: float
+    text: Logistic | None = None
+    meta: Logistic | None = None
+    platts: tuple[Platt, ...] = ()
+    weights: tuple[float, ...] = ()
+    prior: float = 0.0
     exchanged: tuple[int, ...] = ()
 
+    def views(self, text_x: np.ndarray, meta_x: np.ndarray) -> np.ndarray:
+        """Calibrated logits of the text view and the metadata view."""
+        return np.stack([c(v.logit(x)) for c, v, x in zip(self.platts, (self.text, self.meta), (text_x, meta_x))], axis=1)
+
     def score(self, text_x: np.ndarray, meta_x: np.ndarray) -> np.ndarray:
-        if self.mix is None:
-            return np.full(len(text_x), self.base)
-        views = np.stack([self.text.logit(text_x), self.meta.logit(meta_x)], axis=1)
-        return _sigmoid(self.mix.logit(views))
+        if self.text is None:
+            return np.ones(len(text_x))
+        return _sigmoid(self.prior + (self.views(text_x, meta_x) - self.prior) @ np.array(self.weights))
+
+
+def surest(views: list[Logistic], text_x, meta_x, keys, taken: list[set[int]], most: int, sure: float) -> list[tuple]:
+    """(giver, label, certainty, row): what each view hands to the other, for each label at most ``most`` rows."""
+    out = []
+    for giver, x in enumerate((text_x, meta_x)):
+        p = _sigmoid(views[giver].logit(x))
+        free = np.array([k not in taken[1 - giver] for k in keys], dtype=bool)
+        for label, certain in ((1, p), (0, 1 - p)):
+            rows = np.flatnonzero(free & (certain >= sure))
+            rows = rows[np.argsort(-certain[rows], kind="stable")[:most]]
+            out += [(giver, label, float(certain[i]), int(i)) for i in rows]
+    return out
 
 
-def co_train(text_x, meta_x, y, pool_text, pool_meta, rounds: int = 3, share: float = 0.1, sure: float = 0.95) -> CoTrained:
-    """A third of the labelled rows is held out for calibration; the rest starts both views.
-
-    In each round a view hands over at most ``share`` of the pool for each class,
-    its surest documents, and only those at ``sure`` or beyond.
-    """
-    base = float(y.mean()) if len(y) else 1.0
+def _train(text_x, meta_x, y, hand, rounds: int) -> CoTrained:
+    """``hand(views, taken)`` gives (giver, label, key, text row, metadata row) of the documents handed over."""
     if len(y) < 30 or min(y.sum(), len(y) - y.sum()) < 5:
-        return CoTrained(None, None, None, base)
+        return CoTrained()
     held = np.arange(len(y)) % 3 == 2
     own = [[text_x[~held], y[~held]], [meta_x[~held], y[~held]]]
-    pool, taken, exchanged = [pool_text, pool_meta], [np.zeros(len(pool_text), bool)] * 2, []
+    taken, exchanged = [set(), set()], []
     for _ in range(rounds):
         views = [Logistic.fit(x, t) for x, t in own]
-        handed = 0
-        for giver, taker in ((0, 1), (1, 0)):
-            if not len(pool[giver]):
-                continue
-            p = _sigmoid(views[giver].logit(pool[giver]))
-            most = max(1, int(share * len(p)))
-            for label, certain in ((1, p), (0, 1 - p)):
-                free = np.flatnonzero(~taken[taker] & (certain >= sure))
-                pick = free[np.argsort(-certain[free], kind="stable")[:most]]
-                own[taker] = [np.concatenate([own[taker][0], pool[taker][pick]]), np.concatenate([own[taker][1], np.full(len(pick), label)])]
-                taken[taker] = taken[taker] | np.isin(np.arange(len(p)), pick)
-                handed += len(pick)
-        exchanged.append(handed)
+        rows = hand(views, taken)
+        for taker in (0, 1):
+            given = [r for r in rows if r[0] == 1 - taker]
+            if given:
+                own[taker] = [np.concatenate([own[taker][0], np.stack([r[3 + taker] for r in given])]), np.concatenate([own[taker][1], [r[1] for r in given]])]
+                taken[taker].update(r[2] for r in given)
+        exchanged.append(len(rows))
     text, meta = (Logistic.fit(x, t) for x, t in own)
-    # one logistic over both views' logits: Platt slopes, offset and weights at once
-    logits = np.stack([text.logit(text_x[held]), meta.logit(meta_x[held])], axis=1)
-    return CoTrained(text, meta, Logistic.fit(logits, y[held].astype(float), l2=1e-2, steps=300), base, tuple(exchanged))
+    truth = y[held].astype(float)
+    platts = (Platt.fit(text.logit(text_x[held]), truth), Platt.fit(meta.logit(meta_x[held]), truth))
+    share = float(np.clip(truth.mean(), 0.01, 0.99))
+    model = CoTrained(text, meta, platts, (1.0, 0.0), float(np.log(share / (1 - share))), tuple(exchanged))
+    beyond = model.views(text_x[held], meta_x[held]) - model.prior
+    tried = [(_log_loss(model.prior + beyond @ np.array([a, b]), truth), abs(a - 1) + abs(b - 1), a, b) for a in WEIGHTS for b in WEIGHTS]
+    model.weights = tuple(float(w) for w in min(tried)[2:])
+    return model
+
+
+def co_train(text_x, meta_x, y, pool_text, pool_meta, rounds: int = 3, share: float = 0.1, sure: float = 0.95) -> CoTrained:
+    """Co-training over arrays. A third of the labelled rows is held out for calibration; the rest starts both views.
+
+    In each round a view hands over at most ``share`` of the pool for each class,
+    its surest documents, and only those at ``sure`` or beyond.
+    """
+
+    def hand(views, taken):
+        if not len(pool_text):
+            return []
+        picked = surest(views, pool_text, pool_meta, range(len(pool_text)), taken, max(1, int(share * len(pool_text))), sure)
+        return [(giver, label, i, pool_text[i], pool_meta[i]) for giver, label, _, i in picked]
+
+    return _train(text_x, meta_x, y, hand, rounds)
+
+
+WIDTH = GRAMS + len(SHAPE)
+
+
+def _rows(batches, fields: int, step: int = 512):
+    """Of batches that begin with text, source, lang, n_chars: (slice, text view, metadata view)."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, step):
+            part = batch.slice(lo, step)
+            text, source, lang, n_chars = (part.column(i).to_pylist() for i in range(fields))
+            yield part, np.stack([text_view(t) for t in text]), np.stack([meta_view(s, la, n) for s, la, n in zip(source, lang, n_chars)])
+
+
+def _packed(text_x: np.ndarray, meta_x: np.ndarray) -> list[bytes]:
+    return [r.tobytes() for r in np.concatenate([text_x, meta_x], axis=1).astype("<f4")]
 
 
 def _features(batches):
     import pyarrow as pa
 
-    for batch in batches:
-        doc_id, text, source, lang, n_chars, quality = (batch.column(i).to_pylist() for i in range(6))
-        x = [np.concatenate([text_view(t), meta_view(s, la, n)]).astype("<f4").tobytes() for t, s, la, n in zip(text, source, lang, n_chars)]
-        yield pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(quality, pa.int64()), pa.array(x, pa.binary())], names=["doc_id", "quality", "x"])
+    for part, text_x, meta_x in _rows(batches, 4):
+        yield pa.RecordBatch.from_arrays([part.column(4), part.column(5), pa.array(_packed(text_x, meta_x), pa.binary())], names=["doc_id", "quality", "x"])
+
+
+def _handed(docs: DataFrame, views: list[Logistic], taken: list[set[int]], most: int, sure: float) -> list[tuple]:
+    """The surest of all ``docs``, texts alike in all features once: at most ``most`` for each view and label come to the driver."""
+
+    def run(batches):
+        import pyarrow as pa
+        import xxhash
+
+        best: dict[tuple[int, int], dict[int, tuple[float, bytes]]] = {(g, la): {} for g in (0, 1) for la in (0, 1)}
+        for _, text_x, meta_x in _rows(batches, 4):
+            packed = _packed(text_x, meta_x)
+            keys = [xxhash.xxh64_intdigest(x) >> 1 for x in packed]
+            for giver, label, certain, i in surest(views, text_x, meta_x, keys, taken, most, sure):
+                best[giver, label][keys[i]] = (certain, packed[i])
+            for group, rows in best.items():
+                if len(rows) > most:
+                    best[group] = dict(sorted(rows.items(), key=lambda r: (-r[1][0], r[0]))[:most])
+        for (giver, label), rows in best.items():
+            if rows:
+                cols = [[giver] * len(rows), [label] * len(rows), list(rows), [r[0] for r in rows.values()], [r[1] for r in rows.values()]]
+                kinds = [pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["giver", "label", "key", "certain", "x"])
+
+    found = cut(docs.mapInArrow(run, "giver int, label int, key long, certain double, x binary"), "surest")
+    out = []
+    for giver in (0, 1):
+        for label in (0, 1):
+            one = found.filter((F.col("giver") == giver) & (F.col("label") == label)).dropDuplicates(["key"])
+            for r in one.orderBy(F.desc("certain"), "key").limit(most).collect():
+                x = np.frombuffer(r.x, dtype="<f4")
+                out.append((giver, label, r.key, x[:WIDTH], x[WIDTH:]))
+    return out
+
 
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = 3000, rounds: int = 3, most: int = 200, sure: float = 0.95) -> CoTrained:
+    """Fit on a bounded sample of labels: the ``labelled`` doc_ids with a label of smallest hash.
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = 3000, pool: int = 2000) -> CoTrained:
-    """Fit on a bounded sample: the ``labelled`` labelled and ``pool`` other doc_ids of smallest hash.
+    All other documents are the pool: in each round every one of them is scored, and each
+    view hands the other its ``most`` surest documents of each class, from ``sure`` on.
 
-    A doc_id with several labels takes the smallest; null labels and ids are left
-    out. Without enough labels of both kinds the model keeps everything.
+    A doc_id with several labels takes the smallest, one with several rows the row of
+    smallest features; null labels and ids are left out, texts count whole. With under
+    30 labels, or under 5 of a class, the model keeps everything with score 1.
     """
-    by_hash = lambda df: df.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id")
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("long").alias("quality"))
-    known = by_hash(marks).limit(labelled).collect()
-    spark = docs.sparkSession
-    first = by_hash(docs.select("doc_id").filter("doc_id IS NOT NULL")).limit(pool + labelled).collect()
-    marked = {r.doc_id for r in known}
-    others = [r.doc_id for r in first if r.doc_id not in marked][:pool]
-    chosen = [(d, q) for d, q in known] + [(d, None) for d in others]
-    picked = spark.createDataFrame(chosen, "_id long, quality long")
-    rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"))
-    rows = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).drop("_id")  # at most labelled + pool ids
-    rows = rows.mapInArrow(_features, "doc_id long, quality long, x binary").limit(4 * (labelled + pool)).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.x))
-    width = GRAMS + len(SHAPE)
-    x = np.stack([np.frombuffer(r.x, dtype="<f4") for r in rows]) if rows else np.zeros((0, width + META + 2), dtype=np.float32)
-    has = np.array([r.quality is not None for r in rows], dtype=bool)
-    y = np.array([r.quality for r in rows if r.quality is not None], dtype=float)
-    y = (y > 0).astype(float)
-    text_x, meta_x = x[:, :width], x[:, width:]
-    return co_train(text_x[has], meta_x[has], y, text_x[~has], meta_x[~has])
+    known = marks.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(labelled).collect()
+    picked = F.broadcast(docs.sparkSession.createDataFrame([tuple(r) for r in known], "known_id long, quality long"))  # at most ``labelled`` rows
+    fields = docs.select("text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"), "doc_id")
+    rows = fields.join(picked, F.col("doc_id") == F.col("known_id")).drop("known_id").mapInArrow(_features, "doc_id long, quality long, x binary")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect()
+    rows.sort(key=lambda r: r.doc_id)
+    x = np.stack([np.frombuffer(r.x, dtype="<f4") for r in rows]) if rows else np.zeros((0, WIDTH + META + 2), dtype=np.float32)
+    y = np.array([float(r.quality > 0) for r in rows])
+    pool = fields.join(picked, F.col("doc_id") == F.col("known_id"), "left_anti").drop("doc_id")
+    return _train(x[:, :WIDTH], x[:, WIDTH:], y, lambda views, taken: _handed(pool, views, taken, most, sure), rounds)
 
 
 def score(docs: DataFrame, model: CoTrained, threshold: float = 0.5) -> DataFrame:
     """All columns of ``docs`` and ``cotrain_score`` (0 to 1) and ``cotrain_kept``, row by row.
 
-    Null text counts as empty, null metadata as a value of its own.
+    Null text counts as empty, null metadata as a value of its own; a text of any length
+    is scored whole; rows alike get the same score, repeated doc_ids each their own; a score
+    of ``threshold`` itself is kept. Input columns with the two new names are replaced, no
+    other name clashes. An empty table gives no rows.
     """
-    fields = ["text", "source", "lang", "n_chars"]
-    schema = docs.select(*docs.columns, F.lit(0.0).alias("cotrain_score"), F.lit(True).alias("cotrain_kept")).schema
+    new = ("cotrain_score", "cotrain_kept")
+    docs = docs.select(*(c for c in docs.columns if c not in new))
+    schema = docs.select("*", F.lit(0.0).alias(new[0]), F.lit(True).alias(new[1])).schema
+    # the four fields stand first, under names that no function looks at
+    fields = docs.select(*(F.col(c).alias(f"{i}") for i, c in enumerate(("text", "source", "lang"))), F.col("n_chars").cast("long").alias("3"), "*")
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                text, source, lang, n_chars = (part.column(part.schema.get_field_index(f)).to_pylist() for f in fields)
-                text_x = np.stack([text_view(t) for t in text])
-                meta_x = np.stack([meta_view(s, la, n) for s, la, n in zip(source, lang, n_chars)])
-                p = model.score(text_x, meta_x).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(p), pa.array(p >= threshold)], names=[*part.schema.names, "cotrain_score", "cotrain_kept"])
+        for part, text_x, meta_x in _rows(batches, 4):
+            p = model.score(text_x, meta_x).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([*part.columns[4:], pa.array(p), pa.array(p >= threshold)], names=[*part.schema.names[4:], *new])
 
-    return docs.mapInArrow(run, schema)
+    return fields.mapInArrow(run, schema)
