@@ -1,135 +1,169 @@
 """Exact top-k inner products by dual-tree search over cover trees.
 
-Rows and queries are dealt into blocks by hash. For each pair of a query block
-and a data block one task builds a cover tree of both and walks pairs of nodes:
-a pair is pruned when no inner product under it can reach the worst k-th score
-of the query node. A pair's bound comes from the two centres and the covering
-radii: <q, r> + |q| R_r + |r| R_q + R_q R_r.
+Data rows and queries are dealt to cells (the nearest of a few pivots), cells are cut
+into blocks, and every block becomes one cover tree that is built once and kept as
+flat arrays. Pairs of a query block and a data block carry a bound from the roots.
+Each query block first meets its most promising data block; the kth scores found
+there go with it to all other data blocks, of which those with too low a bound fall
+away. Inside a pair the trees are walked together: two nodes are pruned when no inner
+product under them can reach the worst kth score of the query node. The bound of
+two nodes with centres q, r and covering radii R_q, R_r is
+<q, r> + |q| R_r + |r| R_q + R_q R_r.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import BROADCAST_BYTES, cut, small
 
-LOWEST = -np.inf
+LOWEST, HIGHEST = -(2**63), 2**63 - 1
 
+#: A node: its points are order[start:end]; children follow one another.
+NODE = np.dtype([("start", "<i4"), ("end", "<i4"), ("centre", "<i4"), ("radius", "<f8"), ("child", "<i4"), ("children", "<i4")])
 
-@dataclass
-class Node:
-    """A ball of points: centre and covering radius, with children or as a leaf."""
-
-    centre: np.ndarray
-    radius: float
-    points: np.ndarray
-    children: list["Node"] = field(default_factory=list)
 
-    def __post_init__(self):
-        self.norm = float(np.linalg.norm(self.centre))
+@dataclass
+class CoverTree:
+    """Points in tree order, and nodes of which the first is the root."""
+
+    x: np.ndarray
+    order: np.ndarray
+    nodes: np.ndarray
+
+    @classmethod
+    def build(cls, x: np.ndarray, leaf: int = 128, base: float = 1.3) -> "CoverTree":
+        """Every level's radius is at most 1 / ``base`` of the one above.
+
+        A node's centre is a point of it and the centre of one of its children
+        (nesting); all its points lie within its radius (covering); the children's
+        centres are picked farthest first, so they are farther apart than the children's
+        radius (separation). Nodes of more than ``leaf`` points that are not all equal split.
+        """
+        order = np.arange(len(x))
+        rows = [(0, len(x), int(np.linalg.norm(x - x.mean(axis=0), axis=1).argmin()), 0.0, 0, 0)]
+        at = 0
+        while at < len(rows):
+            start, end, centre, *_ = rows[at]
+            own = order[start:end]
+            away = np.linalg.norm(x[own] - x[centre], axis=1)
+            radius, children = float(away.max()), []
+            if end - start > leaf and radius > 0:
+                nearest, owner, centres = away, np.zeros(len(own), dtype=np.int64), [centre]
+                while nearest.max() > radius / base:
+                    far = int(nearest.argmax())
+                    dist = np.linalg.norm(x[own] - x[own[far]], axis=1)
+                    closer = dist < nearest
+                    nearest, owner = np.where(closer, dist, nearest), np.where(closer, len(centres), owner)
+                    centres.append(int(own[far]))
+                order[start:end] = own[np.argsort(owner, kind="stable")]
+                sizes = np.bincount(owner, minlength=len(centres))
+                begins = start + np.concatenate([[0], np.cumsum(sizes)])
+                children = [(int(b), int(e), c, 0.0, 0, 0) for b, e, c in zip(begins[:-1], begins[1:], centres)]
+            rows[at] = (start, end, centre, radius, len(rows), len(children))
+            rows.extend(children)
+            at += 1
+        place = np.empty(len(x), dtype=np.int64)
+        place[order] = np.arange(len(x))
+        nodes = np.array(rows, dtype=NODE)
+        nodes["centre"] = place[nodes["centre"]]
+        return cls(x[order], order, nodes)
 
 
-def cover_tree(x: np.ndarray, leaf: int = 48) -> Node:
-    """Cover tree of the rows of ``x``: the radius halves from level to level.
+class DualTree:
+    """k best data rows of every query, ties to the smaller id; ``compared`` counts scores.
 
-    Children's centres are picked farthest first, so those of one node are more
-    than its children's radius apart. Where a level no longer groups the points
-    (over a quarter would be centres) the node stays a leaf.
+    ``floor``: a score of each query that its k best are known to reach.
     """
 
-    def build(points: np.ndarray, centre: int) -> Node:
-        away = np.linalg.norm(x[points] - x[centre], axis=1)
-        node = Node(x[centre], float(away.max(initial=0.0)), points)
-        if len(points) <= leaf or node.radius == 0:
-            return node
-        target, nearest, owner = node.radius / 2, away.copy(), np.zeros(len(points), dtype=np.int64)
-        centres = [centre]
-        while nearest.max() > target:
-            if 4 * len(centres) > len(points):
-                return node
-            far = int(nearest.argmax())
-            dist = np.linalg.norm(x[points] - x[points[far]], axis=1)
-            closer = dist < nearest
-            nearest[closer], owner[closer] = dist[closer], len(centres)
-            centres.append(int(points[far]))
-        node.children = [build(points[owner == j], c) for j, c in enumerate(centres)]
-        return node
-
-    if not len(x):
-        raise ValueError("no points")
-    return build(np.arange(len(x)), int(np.linalg.norm(x - x.mean(axis=0), axis=1).argmin()))
-
-
-class DualTree:
-    """k best data rows of every query, ties to the smaller id; ``compared`` counts scores."""
-
-    def __init__(self, queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int):
-        order = np.argsort(data_ids, kind="stable")
-        self.q, self.qid, self.x, self.xid, self.k = queries, query_ids, data[order], data_ids[order], k
-        peak = np.abs(queries).max(initial=0) * np.abs(data).max(initial=0) * max(1, data.shape[1])
+    def __init__(self, queries: CoverTree, query_ids: np.ndarray, data: CoverTree, data_ids: np.ndarray, k: int, floor: np.ndarray | None = None):
+        self.q, self.qid, self.x, self.xid, self.k = queries, query_ids, data, data_ids, k
+        peak = np.abs(queries.x).max(initial=0) * np.abs(data.x).max(initial=0) * max(1, data.x.shape[1])
         self.exact = peak < 2.0**53
-        self.best = np.full((len(queries), k), LOWEST)
-        self.best_id = np.zeros((len(queries), k), dtype=np.int64)
+        self.best = np.full((len(query_ids), k), LOWEST)
+        self.best_id = np.zeros((len(query_ids), k), dtype=np.int64)
+        self.held = np.zeros((len(query_ids), k), dtype=bool)
+        self.floor = np.full(len(query_ids), LOWEST) if floor is None else floor.copy()
         self.compared = 0
 
-    def run(self, leaf: int = 48) -> "DualTree":
-        if len(self.q) and len(self.x):
-            self._walk(cover_tree(self.q, leaf), cover_tree(self.x, leaf))
-        return self
+    def run(self) -> "DualTree":
+        a, b = self.q.nodes, self.x.nodes
+        ca, cb = self.q.x[a["centre"]], self.x.x[b["centre"]]
+        norm_a, norm_b = np.linalg.norm(ca, axis=1), np.linalg.norm(cb, axis=1)
 
-    def _bound(self, a: Node, b: Node) -> float:
-        top = float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
-        return top + 1e-9 * abs(top) + 1.0
+        def bounds(i, j):
+            top = (ca[i] * cb[j]).sum(axis=1) + norm_a[i] * b["radius"][j] + norm_b[j] * a["radius"][i] + a["radius"][i] * b["radius"][j]
+            return top + 1e-9 * np.abs(top) + 1.0
 
-    def _walk(self, a: Node, b: Node) -> None:
-        stack = [(self._bound(a, b), a, b)]
+        zero = np.zeros(1, dtype=np.int64)
+        stack = [(bounds(zero, zero)[0], 0, 0)]
         while stack:
-            bound, a, b = stack.pop()
-            if bound < self.best[a.points, -1].min():
+            bound, i, j = stack.pop()
+            p, r = a[i], b[j]
+            if bound < self.floor[p["start"] : p["end"]].min():
                 continue
-            if not a.children and not b.children:
-                self._compare(a.points, np.sort(b.points))
+            if not p["children"] and not r["children"]:
+                self._compare(slice(p["start"], p["end"]), slice(r["start"], r["end"]))
                 continue
-            if a.children and (a.radius >= b.radius or not b.children):
-                pairs = [(self._bound(c, b), c, b) for c in a.children]
+            if p["children"] and (p["radius"] >= r["radius"] or not r["children"]):
+                i = np.arange(p["child"], p["child"] + p["children"])
+                j = np.full(len(i), j)
             else:
-                pairs = [(self._bound(a, c), a, c) for c in b.children]
-            stack.extend(sorted(pairs, key=lambda p: p[0]))  # the most promising is walked first
+                j = np.arange(r["child"], r["child"] + r["children"])
+                i = np.full(len(j), i)
+            top = bounds(i, j)
+            rank = np.argsort(top, kind="stable")  # the most promising is walked first
+            stack.extend(zip(top[rank].tolist(), i[rank].tolist(), j[rank].tolist()))
+        return self
 
-    def _scores(self, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    def _scores(self, rows: slice, cols: slice) -> np.ndarray:
         if self.exact:
-            return self.q[rows] @ self.x[cols].T
-        whole = self.q[rows].astype(object) @ self.x[cols].T.astype(object)
-        return np.clip(whole, -(2**63), 2**63 - 1).astype(float)
-
-    def _compare(self, rows: np.ndarray, cols: np.ndarray) -> None:
-        self.compared += len(rows) * len(cols)
-        s = self._scores(rows, cols)
-        s[self.qid[rows][:, None] == self.xid[cols][None, :]] = LOWEST
-        floor = self.best[rows, -1]
-        if len(cols) > self.k:
-            floor = np.maximum(floor, np.partition(s, len(cols) - self.k, axis=1)[:, len(cols) - self.k])
-        i, j = np.nonzero((s >= floor[:, None]) & (s > LOWEST))
-        old = self.best[rows] > LOWEST
-        oi, oj = np.nonzero(old)
+            return (self.q.x[rows] @ self.x.x[cols].T).astype(np.int64)
+        whole = np.vectorize(int, otypes=[object])
+        s = whole(self.q.x[rows]) @ whole(self.x.x[cols]).T
+        return np.minimum(np.maximum(s, LOWEST), HIGHEST).astype(np.int64)
+
+    def _compare(self, rows: slice, cols: slice) -> None:
+        s, ids = self._scores(rows, cols), self.xid[cols]
+        self.compared += s.size
+        may = self.qid[rows][:, None] != ids[None, :]
+        floor = self.floor[rows].copy()
+        if len(ids) > self.k:
+            kth = np.partition(np.where(may, s, LOWEST), len(ids) - self.k, axis=1)[:, len(ids) - self.k]
+            floor = np.maximum(floor, kth)
+        i, j = np.nonzero(may & (s >= floor[:, None]))
+        if not len(i):
+            return
+        oi, oj = np.nonzero(self.held[rows])
         row = np.concatenate([i, oi])
         score = np.concatenate([s[i, j], self.best[rows][oi, oj]])
-        ids = np.concatenate([self.xid[cols][j], self.best_id[rows][oi, oj]])
-        order = np.lexsort((ids, -score, row))
-        row, score, ids = row[order], score[order], ids[order]
+        found = np.concatenate([ids[j], self.best_id[rows][oi, oj]])
+        order = np.lexsort((found, ~score, row))  # ~score: descending, without leaving a long
+        row, score, found = row[order], score[order], found[order]
         rank = np.arange(len(row)) - np.searchsorted(row, row)
         keep = rank < self.k
-        best, best_id = np.full((len(rows), self.k), LOWEST), np.zeros((len(rows), self.k), dtype=np.int64)
-        best[row[keep], rank[keep]], best_id[row[keep], rank[keep]] = score[keep], ids[keep]
-        self.best[rows], self.best_id[rows] = best, best_id
+        held = np.zeros((len(s), self.k), dtype=bool)
+        held[row[keep], rank[keep]] = True
+        for old, new, fill in ((self.best, score, LOWEST), (self.best_id, found, 0)):
+            fresh = np.full((len(s), self.k), fill)
+            fresh[row[keep], rank[keep]] = new[keep]
+            old[rows] = fresh
+        self.held[rows] = held
+        self.floor[rows] = np.where(held[:, -1], np.maximum(self.floor[rows], self.best[rows][:, -1]), self.floor[rows])
+
+
+def usable(embeddings: DataFrame) -> DataFrame:
+    """vec_id, embedding of the rows that take part: an id, and no null, non-finite or beyond 2^900 component."""
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) >= 2.0**900))
+    return embeddings.select("vec_id", "embedding").filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(~bad)
 
 
-def _matrix(column, dims: int) -> np.ndarray:
+def _vectors(column, dims: int) -> np.ndarray:
     """Rows of floor(256 * x), shorter vectors filled with zeros."""
     lists = column.combine_chunks() if hasattr(column, "combine_chunks") else column
     lengths = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -140,37 +174,168 @@ def _matrix(column, dims: int) -> np.ndarray:
     return out
 
 
-def usable(embeddings: DataFrame) -> DataFrame:
-    """vec_id, embedding of the rows that take part: an id, and no null or non-finite component."""
-    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return embeddings.select("vec_id", "embedding").filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(~bad)
+def _pivots(rows: DataFrame, dims: int, cells: int, sample: int) -> np.ndarray:
+    """At most ``cells`` rows far from each other, of the ``sample`` rows with the smallest hashes."""
+    import pyarrow as pa
 
+    first = rows.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(sample).toArrow()
+    x = _vectors(first.column("embedding").cast(pa.list_(pa.float64())), dims)
+    chosen, away = [0], np.linalg.norm(x - x[0], axis=1)
+    while len(chosen) < cells and away.max() > 0:
+        chosen.append(int(away.argmax()))
+        away = np.minimum(away, np.linalg.norm(x - x[chosen[-1]], axis=1))
+    return x[chosen]
 
-def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, block_rows: int = 8192) -> DataFrame:
-    """query_id, rank, vec_id, score for the rows whose vec_id is divisible by ``every``.
 
-    Scores are integer inner products of floor(256 * x); vectors of unequal length
-    count as filled up with zeros. A query's own vec_id is no candidate; a vec_id that
-    repeats is one candidate for each of its rows, and one query. Scores beyond a long
-    are clipped to it. No vector that takes part, no row.
+def _trees(rows: DataFrame, pivots: np.ndarray, block_rows: int, leaf: int, tag: str) -> DataFrame:
+    """One row for each block of about ``block_rows`` rows of one cell: its root and its cover tree as bytes."""
+    dims = pivots.shape[1]
+
+    def deal(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                x = _vectors(part.column(1), dims)
+                cell = ((pivots**2).sum(axis=1) - 2 * x @ pivots.T).argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(cell, pa.int64())], names=["vec_id", "x", "cell"])
+
+    dealt = cut(rows.mapInArrow(deal, "vec_id long, x binary, cell long"), f"{tag}-cells")
+    # a cell of any size becomes as many blocks as it needs; at most len(pivots) counts come to the driver
+    blocks = {r["cell"]: math.ceil(r["count"] / block_rows) for r in dealt.groupBy("cell").count().collect()}
+    share = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.get(F.array(*(F.lit(blocks.get(c, 1)) for c in range(len(pivots)))), F.col("cell").cast("int")))
+    dealt = dealt.withColumn("block", F.shiftleft("cell", 40) + share)
+
+    def build(key, table):
+        import pyarrow as pa
+
+        table = table.sort_by("vec_id")
+        x = np.frombuffer(b"".join(table.column("x").to_pylist()), dtype="<f8").reshape(-1, dims)
+        tree = CoverTree.build(x, leaf)
+        root = tree.nodes[0]
+        ids = table.column("vec_id").to_numpy()[tree.order]
+        short = tree.x.astype("<f4") if (tree.x == tree.x.astype("<f4")).all() else tree.x
+        return pa.table(
+            {
+                "block": [key[0].as_py()], "centre": [tree.x[root["centre"]].tolist()], "radius": [float(root["radius"])],
+                "ids": [ids.astype("<i8").tobytes()], "x": [short.tobytes()], "nodes": [tree.nodes.tobytes()],
+            }
+        )
+
+    schema = "block long, centre array<double>, radius double, ids binary, x binary, nodes binary"
+    return cut(dealt.groupBy("block").applyInArrow(build, schema), f"{tag}-trees")
+
+
+def _loaded(ids: bytes, x: bytes, nodes: bytes, dims: int) -> tuple[CoverTree, np.ndarray]:
+    ids = np.frombuffer(ids, dtype="<i8")
+    kind = "<f4" if len(x) == 4 * dims * len(ids) else "<f8"
+    x = np.frombuffer(x, dtype=kind).reshape(len(ids), dims).astype(np.float64)
+    return CoverTree(x, np.arange(len(ids)), np.frombuffer(nodes, dtype=NODE)), ids
+
+
+FOUND = "q long, query_id long, vec_id long, score long, compared long"
+
+
+def _search(pairs: DataFrame, queries: DataFrame, data: DataFrame, floors: DataFrame | None, dims: int, k: int, broadcast_bytes: int) -> DataFrame:
+    """What the k best of every query of each pair (q, d: blocks) of trees are; one walk for each pair.
+
+    A row without query_id tells how many scores the walk compared.
     """
-    rows = cut(usable(embeddings), "vectors")
-    n, n_queries, dims = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
-    blocks, query_blocks = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_queries / block_rows))
+    q = small(queries.select(F.col("block").alias("q"), *(F.col(c).alias(f"q_{c}") for c in ("ids", "x", "nodes"))), broadcast_bytes)
+    d = small(data.select(F.col("block").alias("d"), *(F.col(c).alias(f"d_{c}") for c in ("ids", "x", "nodes"))), broadcast_bytes)
+    met = pairs.select("q", "d").repartition("q", "d").join(q, "q")
+    met = met.withColumn("floor_ids", F.lit(None).cast("binary")).withColumn("floors", F.lit(None).cast("binary")) if floors is None else met.join(small(floors, broadcast_bytes), "q", "left")
+    met = met.join(d, "d")
 
-    def search(queries, data):
+    def walk(key, table):
         import pyarrow as pa
 
-        q, x = _matrix(queries.column("embedding"), dims), _matrix(data.column("embedding"), dims)
-        qid, xid = (t.column("vec_id").to_numpy() for t in (queries, data))
-        found = DualTree(q, qid, x, xid, k).run()
-        i, j = np.nonzero(found.best > LOWEST)
-        return pa.table({"query_id": qid[i], "vec_id": found.best_id[i, j], "score": found.best[i, j].astype(np.int64)})
-
-    every_block = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    data = rows.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).alias("x"), every_block(query_blocks).alias("q"))
-    queries = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    queries = queries.select("vec_id", "embedding", every_block(blocks).alias("x"), F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).alias("q"))
-    best = queries.groupBy("x", "q").cogroup(data.groupBy("x", "q")).applyInArrow(search, "query_id long, vec_id long, score long")
+        row = table.to_pylist()[0]
+        query, query_ids = _loaded(row["q_ids"], row["q_x"], row["q_nodes"], dims)
+        tree, ids = _loaded(row["d_ids"], row["d_x"], row["d_nodes"], dims)
+        floor = np.full(len(query_ids), LOWEST)
+        if row["floors"] is not None:
+            known = dict(zip(np.frombuffer(row["floor_ids"], dtype="<i8").tolist(), np.frombuffer(row["floors"], dtype="<i8").tolist()))
+            floor = np.array([known.get(i, LOWEST) for i in query_ids.tolist()])
+        found = DualTree(query, query_ids, tree, ids, k, floor).run()
+        i, j = np.nonzero(found.held)
+        n = len(i)
+        return pa.table(
+            {
+                "q": pa.array([row["q"]] * (n + 1), pa.int64()),
+                "query_id": pa.array([*query_ids[i].tolist(), None], pa.int64()),
+                "vec_id": pa.array([*found.best_id[i, j].tolist(), None], pa.int64()),
+                "score": pa.array([*found.best[i, j].tolist(), None], pa.int64()),
+                "compared": pa.array([0] * n + [found.compared], pa.int64()),
+            }
+        )
+
+    return met.groupBy("q", "d").applyInArrow(walk, FOUND)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.filter("query_id IS NOT NULL").withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def _floors(found: DataFrame, k: int) -> DataFrame:
+    """q, floor_ids, floors: the kth scores of each block's queries that have k, as bytes."""
+
+    def pack(key, table):
+        import pyarrow as pa
+
+        ids, scores = (np.array(table.column(c).to_pylist(), dtype="<i8").tobytes() for c in ("query_id", "score"))
+        return pa.table({"q": [key[0].as_py()], "floor_ids": pa.array([ids], pa.binary()), "floors": pa.array([scores], pa.binary())})
+
+    kth = _best(found, k).filter(F.col("rank") == k).select("q", "query_id", "score")
+    return kth.groupBy("q").applyInArrow(pack, "q long, floor_ids binary, floors binary")
+
+
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+
+
+def search(embeddings: DataFrame, k: int = 5, every: int = 50, block_rows: int = 8192, query_rows: int = 16_384, leaf: int = 128, sample: int = 2048, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(what top_k returns; one row with pairs of blocks walked and scores compared, of all there are)."""
+    rows = cut(usable(embeddings), "vectors")
+    n, n_queries, dims = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
+    if not n_queries:
+        spark = embeddings.sparkSession
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long"), spark.createDataFrame([(0, 0, 0)], "walked long, compared long, scores long")
+    pivots = _pivots(rows, dims, min(512, max(1, math.ceil(n / block_rows))), sample)
+    data = _trees(rows, pivots, block_rows, leaf, "data")
+    queries = _trees(rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"]), pivots, query_rows, leaf, "queries")
+
+    # the roots alone of all blocks meet; the bound of a pair is the one of its roots
+    roots = lambda df, x: df.select(*(F.col(c).alias(f"{x}_{c}" if c != "block" else x) for c in ("block", "centre", "radius")))
+    met = roots(data, "d").crossJoin(small(roots(queries, "q"), broadcast_bytes))
+    norm = lambda x: F.sqrt(_dot(F.col(f"{x}_centre"), F.col(f"{x}_centre")))
+    top = _dot(F.col("q_centre"), F.col("d_centre")) + norm("q") * F.col("d_radius") + norm("d") * F.col("q_radius") + F.col("q_radius") * F.col("d_radius")
+    pairs = cut(met.select("q", "d", (top + F.abs(top) * 1e-9 + 1).alias("bound")), "block-pairs")
+
+    first = cut(pairs.groupBy("q").agg(F.max_by("d", F.struct("bound", "d")).alias("d")), "first-pairs")
+    seeds = cut(_search(first, queries, data, None, dims, k, broadcast_bytes), "first-found")
+    floors = cut(_floors(seeds, k), "floors")
+    # a block's worst kth score counts only if all its queries have one
+    have = seeds.filter("query_id IS NOT NULL").groupBy("q", "query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
+    have = have.groupBy("q").agg(F.min(F.when(F.col("n") >= k, F.col("kth")).otherwise(LOWEST)).alias("worst"), F.count("*").alias("n"))
+    sizes = queries.select(F.col("block").alias("q"), (F.octet_length("ids") / 8).cast("long").alias("size"))
+    worst = sizes.join(have, "q", "left").select("q", F.when(F.col("n") == F.col("size"), F.col("worst")).otherwise(LOWEST).alias("worst"))
+    rest = pairs.join(small(cut(worst, "worst"), broadcast_bytes), "q").filter(F.col("bound") >= F.col("worst")).join(first, ["q", "d"], "left_anti")
+    rest = cut(rest.select("q", "d"), "other-pairs")
+    found = cut(_search(rest, queries, data, floors, dims, k, broadcast_bytes), "other-found").unionByName(seeds)
+    effort = found.filter("query_id IS NULL").agg(F.count("*").alias("walked"), F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"), F.lit(n * queries.agg(F.sum(F.octet_length("ids") / 8)).first()[0]).cast("long").alias("scores"))
+    return _best(found, k).select("query_id", "rank", "vec_id", "score"), effort
+
+
+def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, block_rows: int = 8192, **options) -> DataFrame:
+    """query_id, rank, vec_id, score for the rows whose vec_id is divisible by ``every``.
+
+    Scores are integer inner products of floor(256 * x); vectors of unequal length
+    count as filled up with zeros. A query's own vec_id is no candidate; a vec_id that
+    repeats is one candidate for each of its rows, and one query. Scores beyond a long
+    are clipped to it. Ties go to the smaller vec_id. Other columns are not read. No
+    vector that takes part, no row.
+    """
+    return search(embeddings, k, every, block_rows, **options)[0]
