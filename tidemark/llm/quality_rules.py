@@ -2,7 +2,8 @@
 
 Each rule looks at one document and says whether to reject it. On a sample every
 rule is timed and its rejections are counted; the cascade then runs the rules by
-rejections per second, most first, and stops at the first that rejects. The
+rejections per second, most first, where those count that the rules before left
+over, and stops at the first that rejects. The
 verdict is that of all rules together, so the order changes only the cost.
 """
 
@@ -12,6 +13,7 @@ import time
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from operator import eq
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,14 +58,14 @@ def base_failed(p: Page) -> bool:
     return p.n_words < 50 or 100 * p.n_repeat_words > 50 * p.n_words
 
 
-#: name: (does the rule reject, the same as SQL over the columns of ``words`` and ``base``)
+#: name: does the rule reject. Every rule is a ratio, so it behaves alike at every length.
 RULES: dict[str, Callable[[Page], bool]] = {
     "symbols": lambda p: 10 * p.n_symbols > p.n_words,
     "duplicate_lines": lambda p: 10 * p.n_dup_lines > 3 * p.n_lines,
     "word_length": lambda p: not 2 * p.n_words <= p.word_chars <= 12 * p.n_words,
     "exclamations": lambda p: 10 * p.text.count("!") > 3 * p.n_words,
     "few_letters": lambda p: 10 * sum(any(map(str.isalpha, w.decode("utf-8", "surrogatepass"))) for w in p.words) < 8 * p.n_words,
-    "few_distinct_words": lambda p: 20 * len(set(p.words)) < p.n_words and p.n_words < 2000,
+    "stutter": lambda p: 5 * sum(map(eq, p.words, p.words[1:])) > p.n_words,
 }
 
 
@@ -78,13 +80,19 @@ class Cascade:
     @classmethod
     def fit(cls, texts: list[str | None], rules: dict[str, Callable[[Page], bool]] = RULES) -> "Cascade":
         pages = [p for p in map(Page, texts) if not base_failed(p)]
-        seconds, rejected = {}, {}
+        seconds, verdicts = {}, {}
         for name, rule in rules.items():
             began = time.perf_counter()
-            rejected[name] = sum(map(rule, pages))
+            verdicts[name] = [rule(p) for p in pages]
             seconds[name] = max(time.perf_counter() - began, 1e-9)
-        # a rule that rejects nothing comes after all that do, the cheap ones first
-        order = sorted(rules, key=lambda x: (-rejected[x] / seconds[x], seconds[x], x))
+        order, rejected, open_ = [], {}, set(range(len(pages)))
+        while len(order) < len(rules):
+            # what a rule rejects counts among the documents that the rules before it let through
+            new = {name: sum(verdicts[name][i] for i in open_) for name in rules if name not in order}
+            first = min(new, key=lambda x: (-new[x] / seconds[x], seconds[x], x))
+            order.append(first)
+            rejected[first] = new[first]
+            open_ = {i for i in open_ if not verdicts[first][i]}
         return cls(order, seconds, rejected)
 
     def rejects(self, page: Page, rules: dict[str, Callable[[Page], bool]] = RULES) -> str | None:
@@ -105,7 +113,8 @@ def judge(docs: DataFrame, sample: int = 256) -> DataFrame:
     """One row for each document: doc_id, the figures, base_failed, kept, rejected_by.
 
     The sample only sets the order of the rules. Null and empty texts have no
-    words and fail the base; null and repeated doc_ids are judged row by row.
+    words and fail the base; null and repeated doc_ids are judged row by row, texts of
+    any length whole; other columns are not read. An empty table gives no rows.
     """
     cascade = Cascade.fit(sample_texts(docs, sample))
 

@@ -75,7 +75,7 @@ WITH base AS (
   SELECT doc_id, w, t, len(w) AS n_words, CAST(list_sum(list_transform(w, lambda x: length(x))) AS BIGINT) AS chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^!]', '', 'g')) AS n_bangs,
          coalesce(n_dup, 0) AS n_dup, coalesce(n_lines, 0) AS n_lines, coalesce(covered.n, 0) AS n_rep,
-         len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) AS n_letter, len(list_distinct(w)) AS n_distinct
+         len(list_filter(w, lambda x: regexp_matches(x, '\pL'))) AS n_letter, coalesce(list_sum(list_transform(range(2, len(w) + 1), lambda i: CAST(w[i] = w[i - 1] AS INTEGER))), 0) AS n_stutter
   FROM base LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
@@ -83,7 +83,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(chars, 0) AS BI
        (n_words < 50 OR 100 * n_rep > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_rep > 50 * n_words OR 10 * n_symbols > n_words OR 10 * n_dup > 3 * n_lines
             OR chars < 2 * n_words OR chars > 12 * n_words OR 10 * n_bangs > 3 * n_words OR 10 * n_letter < 8 * n_words
-            OR (20 * n_distinct < n_words AND n_words < 2000)) AS kept
+            OR 5 * n_stutter > n_words) AS kept
 FROM figures
 """
 
