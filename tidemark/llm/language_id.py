@@ -2,7 +2,7 @@
 
 Document frequencies cover every training row. Centroids come from spherical
 k-means, several for each language, on a bounded sample of the training rows
-(``sample``). A text takes the language of its nearest centroid by cosine; one
+(``sample`` of each language). A text takes the language of its nearest centroid by cosine; one
 farther from it than nearly all training rows of that language is marked
 ``rejected``.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .features import trigram_counts
@@ -69,8 +69,13 @@ class LanguageModel:
         return out
 
 
-def fit(train: DataFrame, sample: int = 3000, per_lang: int = 4, reject_share: float = 0.001) -> LanguageModel:
-    """``train``: doc_id, text, lang. The sample is the rows with the smallest hashes of doc_id."""
+def fit(train: DataFrame, sample: int = 1000, per_lang: int = 4, reject_share: float = 0.002) -> LanguageModel:
+    """``train``: doc_id, text, lang. Of each language the ``sample`` rows with the smallest hashes are clustered.
+
+    Rows with a null text or lang teach nothing; rows alike in doc_id and text count
+    once in the sample. Without any row nothing is learned, and every text is ``und``.
+    A text is rejected below the cosine that all but ``reject_share`` of the sampled rows reach.
+    """
     train = train.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
 
     def frequencies(batches):
@@ -93,7 +98,16 @@ def fit(train: DataFrame, sample: int = 3000, per_lang: int = 4, reject_share: f
             df[bucket] = count
     idf = np.log((1 + n) / (1 + df)).astype(np.float32)
 
-    ids = [r[0] for r in train.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample).collect()]
+    # the rows of smallest hash of each language; few more than ``sample`` of a language get to be ranked
+    h = F.xxhash64("doc_id", "text", F.lit(11))
+    sizes = [(r.lang, r["count"]) for r in train.groupBy("lang").count().collect()]
+    if not sizes:
+        return LanguageModel(idf, np.zeros((0, DIMS), dtype=np.float32), [], np.zeros(0))
+    shares = F.broadcast(train.sparkSession.createDataFrame([(la, min(1.0, (2 * sample + 100) / n)) for la, n in sizes], "lang string, share double"))
+    likely = train.withColumn("h", h).join(shares, "lang").filter(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    ids = likely.select("lang", "h", "doc_id").distinct().withColumn("rank", rank).filter(F.col("rank") <= sample).select("lang", "h", "doc_id")
+
     def sampled(batches):
         import pyarrow as pa
 
@@ -103,8 +117,8 @@ def fit(train: DataFrame, sample: int = 3000, per_lang: int = 4, reject_share: f
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.string(), pa.binary()))], names=["doc_id", "lang", "counts"])
 
     # whole texts are counted where they lie; the driver gets 4 * DIMS bytes for each sampled row
-    chosen = train.filter(F.col("doc_id").isin(ids)).select("doc_id", "lang", "text")
-    picked = chosen.mapInArrow(sampled, "doc_id long, lang string, counts binary").orderBy("doc_id", "lang", "counts").limit(sample).collect() if ids else []
+    chosen = likely.join(F.broadcast(ids), ["lang", "h", "doc_id"]).select("doc_id", "lang", "text")  # at most ``sample`` rows a language
+    picked = chosen.mapInArrow(sampled, "doc_id long, lang string, counts binary").distinct().orderBy("lang", "doc_id", "counts").collect()
     by_lang: dict[str, list[np.ndarray]] = {}
     for _, lang, counts in picked:
         by_lang.setdefault(lang, []).append(np.frombuffer(counts, dtype="<u4"))
@@ -115,7 +129,7 @@ def fit(train: DataFrame, sample: int = 3000, per_lang: int = 4, reject_share: f
         nearest = (x @ c.T).max(axis=1)
         centroids.append(c)
         langs += [lang] * len(c)
-        floors += [float(np.quantile(nearest, reject_share)) * 0.5] * len(c)
+        floors += [float(np.quantile(nearest, reject_share))] * len(c)
     return LanguageModel(idf, np.concatenate(centroids).astype(np.float32), langs, np.array(floors))
 
 
@@ -127,8 +141,11 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     ``und``, 0.0 and rejected where text is null, empty or without a letter, or
     where nothing was learned. ``lang_pred`` of a rejected text is still its
-    nearest language.
+    nearest language, for who reads the column wants one of the learned values; take
+    ``rejected`` to leave such texts out. Repeated doc_ids are predicted row by row, texts
+    of any length whole; other columns are not read. An empty table gives no rows.
     """
+
     def run(batches):
         import pyarrow as pa
 
