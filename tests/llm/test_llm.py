@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidemark.llm import cotraining, jaccard, language_id, line_dedup, mixing, packing, quality_rules, suffixes, token_files, topk
 from tidemark.llm.common import scratch_path
@@ -48,7 +49,9 @@ def test_pieces_encode_as_whole_texts():
     enc, rng = PieceEncoder(default_tokenizer()), random.Random(1)
     alphabet = list("ab c  \n\n\t'sé1.,!\xa0 \x1c\0<|endoftext|>")
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(3000)]
-    assert enc.encode(texts) == [array("I", enc._tok.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
+    plain = Tokenizer.from_file(default_tokenizer())
+    plain.encode_special_tokens = True
+    assert enc.encode(texts) == [array("I", plain.encode(t, add_special_tokens=False).ids).tobytes() for t in texts]
 
 
 def test_token_files_round_trip(spark, docs, rows):
@@ -180,7 +183,8 @@ def variants(spark):
     rng, how = random.Random(11), suffixes.Passages()
     while True:
         left, right, first = words(rng, 15, 10_000), words(rng, 35, 10_000), words(rng, 30, 10_000)
-        if not any(30 <= p < 45 for p in suffixes.retained(suffixes.word_hashes(f"{first} {left} {right}".encode().split()), how)):
+        raw = np.frombuffer(f"{first} {left} {right}".encode(), dtype=np.uint8)
+        if not any(30 <= p < 45 for p in suffixes.retained(suffixes.word_hashes(raw, np.array([0, len(raw)]))[0], how)):
             break
     rows = []
     for _ in range(2):
@@ -245,8 +249,56 @@ def test_top_k_equals_brute_force(spark):
 def test_dual_tree_prunes():
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(size=(200, 6)) + 400 * np.eye(6)[j] for j in range(6)]).round()
-    tree = topk.DualTree(x, np.arange(1200), x, np.arange(1200), 3).run()
-    assert tree.compared < 1200 * 1200 / 4  # six far clusters: a sixth at best
+    tree = topk.CoverTree.build(x)
+    ids = tree.order
+    assert topk.DualTree(tree, ids, tree, ids, 3).run().compared < 1200 * 1200 / 4  # six far clusters: a sixth at best
+
+
+def test_cover_tree_covers_nests_and_separates():
+    x = np.random.default_rng(3).normal(size=(700, 3))
+    x[:50] = x[0]
+    tree = topk.CoverTree.build(x, leaf=10)
+    assert (tree.x == x[tree.order]).all() and len(set(tree.order.tolist())) == 700
+    for node in tree.nodes:
+        own = tree.x[node["start"] : node["end"]]
+        assert node["start"] <= node["centre"] < node["end"]
+        assert np.linalg.norm(own - tree.x[node["centre"]], axis=1).max() <= node["radius"] + 1e-9
+        children = tree.nodes[node["child"] : node["child"] + node["children"]]
+        if not len(children):
+            assert len(own) <= 10 or node["radius"] == 0
+            continue
+        assert node["centre"] in children["centre"]
+        assert children["radius"].max() <= node["radius"] / 1.3 + 1e-9
+        c = tree.x[children["centre"]]
+        apart = np.linalg.norm(c[:, None] - c[None], axis=2) + 1e9 * np.eye(len(c))
+        assert apart.min() > node["radius"] / 1.3
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_top_k_prunes_over_blocks(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=(400, 5)) * 0.05 + 4 * np.eye(5)[j] for j in range(5)])
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    found, effort = topk.search(vectors(spark, rows), block_rows=200, leaf=20)
+    effort = effort.first()
+    assert found.count() == 40 * 5 and effort.scores == 40 * 2000 and effort.compared < effort.scores / 3
+
+
+def test_top_k_of_odd_vectors(spark):
+    big = 2.0**50
+    rows = [(0, [big, big]), (0, [big, big]), (50, [-big, 1.0]), (1, [big, 3.0]), (2, [big, 3.0]), (3, [big, None]), (4, [float("inf"), 0.0]), (5, [1.0]), (6, None), (7, [])]
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(vectors(spark, rows)).orderBy("query_id", "rank").collect()]
+    whole = {i: [256 * int(v) for v in (r or [])] + [0] * (2 - len(r or [])) for i, r in rows if i not in (3, 4, 6)}
+    low, high = -(2**63), 2**63 - 1
+    candidates = [0, 0, 50, 1, 2, 5, 7]
+    expected = []
+    for q in (0, 50):
+        s = [(-min(high, max(low, sum(a * b for a, b in zip(whole[q], whole[c])))), c) for c in candidates if c != q]
+        expected += [(q, i + 1, c, -v) for i, (v, c) in enumerate(sorted(s)[:5])]
+    assert got == expected
 
 
 def test_rules_stop_at_the_first(docs):
