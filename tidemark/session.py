@@ -17,6 +17,10 @@ LOCAL = {
     "spark.ui.enabled": "false",
 }
 
+#: Arrow batches for Python workers are bounded by bytes: texts of a batch differ in length by orders.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _SHIPPED: set[str] = set()
 
 
@@ -29,7 +33,9 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each application."""
+    """Send this package to the Python workers, once for each application, and bound their Arrow batches."""
+    if spark.conf.get(_BATCH_CONF, "64m") in ("64m", "64MB", "67108864", "67108864b"):  # nobody chose it
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
