@@ -1,71 +1,81 @@
-"""Member slots, assignment blocks and departures on texts in their sources' shapes."""
+"""Member slots, assignment blocks and events of proceedings on made-up texts."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import departures as dp
 from tidemark.functions import slots as sl
 from tidemark.sources import assignments
 
+#: A resolution of two sections of one kind, a list by paragraphs and a sentence of removal.
+BODY = """<section><committee-appointment-paragraph><header>Committe on Harbours:</header><text>Mr. Vane and Ms. Oakes.</text></committee-appointment-paragraph></section>
+<section><text>These members are removed:</text><subsection><header>Committee on the Tides</header><paragraph><text>Mr. Ash, Jr.</text></paragraph><paragraph><text>Mrs. Elm</text></paragraph></subsection></section>
+<section><paragraph><text>Ms. Fern be, and is hereby, removed from the Committee on Harbours and the Committee on the Tides.</text></paragraph></section>"""
 
-def resolution(tmp_path, name, body, date='<action-date date="20130226">February 28, 2013</action-date>'):
-    (tmp_path / name).write_text(f"<resolution><form><legis-num>H. RES. 82</legis-num>{date}</form><resolution-body>{body}</resolution-body></resolution>")
 
+def written(folder, name, body, date):
+    (folder / name).write_text(f"<resolution><form><legis-num>H. RES. 7</legis-num>{date}</form><resolution-body>{body}</resolution-body></resolution>")
 
-def slots_of(spark, tmp_path, **more):
-    rows = assignments.assignment_slots(assignments.assignment_blocks(spark, str(tmp_path)), **more)
-    return [(r.body, r.ordinal, r.name, r.rank_after, r.action) for r in rows.orderBy("block", "body", "ordinal").collect()]
 
-
-def test_slots_keep_order_and_anchors(spark):
-    texts = [
-        ("Mr. Poe of Utah, to rank immediately after Mr. Lee; Mrs. Black, to rank immediately after Mr. Orr; and Mr. Duff.", [("Mr. Poe of Utah", "Mr. Lee"), ("Mrs. Black", "Mr. Orr"), ("Mr. Duff", None)]),
-        ("Mr. Tam, after Mrs. Law; and Ms. Ames, after Ms. Clay of New York.", [("Mr. Tam", "Mrs. Law"), ("Ms. Ames", "Ms. Clay of New York")]),
-        ("Mr. Nunn (to rank immediately after Mr. Womble).", [("Mr. Nunn", "Mr. Womble")]),
-        ("Mr. Rand (when sworn).", [("Mr. Rand", None)]),
+@pytest.mark.parametrize(
+    ("text", "slots"),
+    [
+        ("Mr. Vane", [("Mr. Vane", None)]),
+        ("Mr. Vane, Ms. Oakes and Mrs. Elm.", [("Mr. Vane", None), ("Ms. Oakes", None), ("Mrs. Elm", None)]),
+        ("Ms. Oakes of West Moor; Mr. Ash, Jr.; and Mr. B. Reed", [("Ms. Oakes of West Moor", None), ("Mr. Ash, Jr.", None), ("Mr. B. Reed", None)]),
+        ("Mr. Vane, after Ms. Oakes, and Mr. Ash (to rank at once after Mr. Pine, Sr.)", [("Mr. Vane", "Ms. Oakes"), ("Mr. Ash", "Mr. Pine, Sr.")]),
+        ("Mrs. Elm (when sworn in), Mr. Vane", [("Mrs. Elm", None), ("Mr. Vane", None)]),
+        ("after Mr. Vane, to rank anywhere", []),
+        (" ,; ", []),
         ("", []),
         (None, []),
-    ]
-    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, t string").select("i", sl.member_slots(F.col("t")).alias("s")).orderBy("i").collect()
-    assert [[(s["name"], s["rank_after"]) for s in r.s] for r in rows] == [want for _, want in texts]
+    ],
+)
+def test_slots(spark, text, slots):
+    row = spark.createDataFrame([(text,)], "t string").select(sl.member_slots(F.col("t")).alias("s")).first()
+    assert [(s["name"], s["rank_after"]) for s in row.s] == slots
+
+
+def test_headers(spark):
+    df = spark.createDataFrame([("Comitee on Oars : ",), ("Committee on Sails",), ("Commission on Oars",), ("",)], "h string")
+    assert [r[0] for r in df.select(sl.header_body(F.col("h"))).collect()] == ["Committee on Oars", "Committee on Sails", "Commission on Oars", ""]
 
 
 def test_layouts_actions_and_visible_date(spark, tmp_path):
-    resolution(
-        tmp_path, "a-eh.xml",
-        "<section><committee-appointment-paragraph><header>Comittee on Rules:</header><text>Mr. Byre and Mr. New.</text></committee-appointment-paragraph></section>"
-        "<section><text>The following are removed:</text><subsection><header>Committee on the Budget</header><paragraph><text>Mr. Low, Jr.</text></paragraph><paragraph><text>Ms. Kay</text></paragraph></subsection></section>"
-        "<section><paragraph><header>Committee on Ethics</header><text>Mr. Fox, Ms. Day.</text></paragraph></section>"
-        "<section><paragraph><text>Mr. Orr be, and is hereby, removed from the Committee on Rules and the Committee on the Budget.</text></paragraph></section>",
-    )
-    resolution(tmp_path, "b-eh.xml", "<section><committee-appointment-paragraph><header>Committee on Rules</header><text>Mr. No Date.</text></committee-appointment-paragraph></section>", "")
-    assert slots_of(spark, tmp_path) == [
-        ("Committee on Rules", 1, "Mr. Byre", None, "APPOINTED"), ("Committee on Rules", 2, "Mr. New", None, "APPOINTED"),
-        ("Committee on the Budget", 1, "Mr. Low, Jr.", None, "REMOVED"), ("Committee on the Budget", 2, "Ms. Kay", None, "REMOVED"),
-        ("Committee on Ethics", 1, "Mr. Fox", None, "APPOINTED"), ("Committee on Ethics", 2, "Ms. Day", None, "APPOINTED"),
-        ("Committee on Rules", 1, "Mr. Orr", None, "REMOVED"), ("Committee on the Budget", 1, "Mr. Orr", None, "REMOVED"),
+    written(tmp_path, "a-eh.xml", BODY, '<action-date date="20210101">March 4, 2021</action-date>')
+    written(tmp_path, "b-eh.xml", BODY, "")
+    blocks = assignments.assignment_blocks(spark, str(tmp_path))
+    assert {r.day for r in blocks.collect()} == {dt.date(2021, 3, 4)}
+    got = [(r.body, r.ordinal, r.name, r.action) for r in assignments.assignment_slots(blocks).orderBy("block", "body", "ordinal").collect()]
+    assert got == [
+        ("Committee on Harbours", 1, "Mr. Vane", "APPOINTED"), ("Committee on Harbours", 2, "Ms. Oakes", "APPOINTED"),
+        ("Committee on the Tides", 1, "Mr. Ash, Jr.", "REMOVED"), ("Committee on the Tides", 2, "Mrs. Elm", "REMOVED"),
+        ("Committee on Harbours", 1, "Ms. Fern", "REMOVED"), ("Committee on the Tides", 1, "Ms. Fern", "REMOVED"),
     ]
-    days = {r.day for r in assignments.assignment_blocks(spark, str(tmp_path)).collect()}
-    assert days == {dt.date(2013, 2, 28)}
-    tracked = spark.createDataFrame([("ethics",)], "key string")
-    assert {s[0] for s in slots_of(spark, tmp_path, tracked=tracked)} == {"Committee on Ethics"}
-
-
-def test_departures(spark):
-    letter = "The SPEAKER laid before the House the following resignation from the House of Representatives:\nWashington, DC, {}.\nI resign{}.\nSincerely,\n{}"
-    items = [
-        (letter.format("January 2, 2024", ", effective at the end of the day,\nJanuary 21, 2024, as Representative", "Bill Jones,\nMember of Congress."), ("house resignation", "Bill Jones", dt.date(2024, 1, 21))),
-        (letter.format("January 31, 2024", ", effective on February 2nd, 2024", "Bo Higgs."), ("house resignation", "Bo Higgs", dt.date(2024, 2, 2))),
-        ("a letter of resignation from former Senator Al Coe of Utah and of the credentials", ("senate exit", "Al Coe", dt.date(2020, 1, 1))),
-        ("the vacancy caused by the death of Senator Ann Lowe of Ohio.", ("senate exit", "Ann Lowe", dt.date(2020, 1, 1))),
-        ("heard of the death of the Honorable C. Young", ("death", None, None)),
-        ("request that the gentleman from Illinois (Mr. Doe) be transferred to the Committee on Rules", ("transfer", "Doe", dt.date(2020, 1, 1))),
-        ("I, Bo Doe, request to be relieved from the Committee on Rules and appointed to it", ("transfer", None, None)),
-        ("I hereby resign my seat on the Committee on Rules.", ("committee departure", None, None)),
-        (None, ("other", None, None)),
-    ]
-    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(items)], "i int, t string")
-    rows = df.select("i", *(v.alias(k) for k, v in dp.departure_columns(F.col("t"), F.lit("2020-01-01").cast("date")).items())).orderBy("i").collect()
-    assert [(r.kind, r.member, r.effective) for r in rows] == [want for _, want in items]
-    assert rows[5].to_body == "Committee on Rules" and rows[5].from_body is None
+    tracked = spark.createDataFrame([("tides",)], "key string")
+    assert {r.body for r in assignments.assignment_slots(blocks, tracked).collect()} == {"Committee on the Tides"}
+
+
+EVENTS = [
+    ("A letter of resignation from the House of Representatives was read:\nI leave my seat, effective at noon\non May 9, 2022.\nYours sincerely,\n\nAnn B. Vane,\nMember.", [("REMOVED", "Ann B. Vane", None, dt.date(2022, 5, 9), "chamber")]),
+    ("The vacancy in the commission created by the resignation of Senator Oakes of West Moor stays open.", [("REMOVED", "Oakes", None, dt.date(2020, 1, 1), "chamber")]),
+    ("We learnt of the passing of the Honorable Tom Reed on June 2, 2019.", [("REMOVED", "Tom Reed", None, dt.date(2019, 6, 2), "chamber")]),
+    ("Lee Pine, a Representative from Fenland, has been elected Speaker of the House.", [("REMOVED", "Lee Pine", None, dt.date(2020, 1, 1), "chamber")]),
+    ("Sir, I, Cy Ash, ask to be relieved from the Committee on Oars and transferred to the Committee on Sails, please.", [("REMOVED", "Cy Ash", "Committee on Oars", dt.date(2020, 1, 1), "committee"), ("APPOINTED", "Cy Ash", "Committee on Sails", dt.date(2020, 1, 1), "committee")]),
+    ("Moved that the gentleman from Fenland (Mr. Reed) be transferred to the Committee on Sails.", [("REMOVED", "Reed", None, dt.date(2020, 1, 1), "all but new"), ("APPOINTED", "Reed", "Committee on Sails", dt.date(2020, 1, 1), "committee")]),
+    ("I resign from the Committee on Oars and Tides effective July 1, 2021.\nRespectfully,\nMay Elm", [("REMOVED", "May Elm", "Committee on Oars and Tides", dt.date(2021, 7, 1), "committee")]),
+    ("The Chair appoints Ms. Fern to the Committee on Sails, vice Mr. Vane.", [("REMOVED", "Vane", "Committee on Sails", dt.date(2020, 1, 1), "committee")]),
+    ("The Chair appoints Ms. Fern to the Committee on Sails.", []),
+    ("I, Cy Ash, ask to be relieved from the Committee on Oars and appointed elsewhere.", []),
+    ("The harbour was calm.", []),
+    ("", []),
+    (None, []),
+]
+
+
+def test_events(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(EVENTS)], "i int, t string")
+    rows = df.select("i", dp.events(F.col("t"), F.lit("2020-01-01").cast("date")).alias("e")).orderBy("i").collect()
+    assert [[(e.action, e.member, e.body, e.effective, e.scope) for e in r.e] for r in rows] == [want for _, want in EVENTS]
