@@ -77,5 +77,5 @@ EVENTS = [
 
 def test_events(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(EVENTS)], "i int, t string")
-    rows = df.select("i", dp.events(F.col("t"), F.lit("2020-01-01").cast("date")).alias("e")).orderBy("i").collect()
+    rows = dp.with_events(df, "t", F.lit("2020-01-01").cast("date"), "e").orderBy("i").collect()
     assert [[(e.action, e.member, e.body, e.effective, e.scope) for e in r.e] for r in rows] == [want for _, want in EVENTS]

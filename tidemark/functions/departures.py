@@ -7,7 +7,7 @@ All of it runs inside the JVM, so one pass over the items serves every branch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import cues as cu
@@ -118,34 +118,37 @@ def departure_columns(text: Column, printed: Column) -> dict[str, Column]:
     }
 
 
-def events(text: Column, printed: Column) -> Column:
-    """All events of an item: array of (action, member, body, effective, scope).
+EVENTS = "array<struct<action:string,member:string,body:string,effective:date,scope:string>>"
+
+
+def with_events(df: DataFrame, text: str, printed: Column, to: str = "events") -> DataFrame:
+    """``df`` and all events of each item: array of (action, member, body, effective, scope).
 
     A death, an exit and an election of the Speaker end every seat (scope 'chamber'); a
     transfer ends one seat (or, without a committee named, all but the new one) and begins
     another; a departure ends one; an appointment in place of someone ends that one's.
-    Items without a member give no event.
+    Items without a member give no event; a transfer counts only with its new committee.
+    What several branches read is computed once, in columns that are dropped again.
     """
-    k, day = kind(text), effective_day(text, printed)
-    one = lambda action, member, body, scope: F.struct(F.lit(action).alias("action"), member.alias("member"), body.alias("body"), day.alias("effective"), scope.alias("scope"))
-    none, chamber, seat = F.lit(None).cast("string"), F.lit("chamber"), F.lit("committee")
-    moved, start, end = transfer_member(text), transfer_to(text), transfer_from(text)
-    by_kind = {
-        "death": [one("REMOVED", dead_member(text), none, chamber)],
-        "house resignation": [one("REMOVED", house_member(text), none, chamber)],
-        "senate exit": [one("REMOVED", senate_member(text), none, chamber)],
-        "speaker": [one("REMOVED", speaker_member(text), none, chamber)],
-        "transfer": [one("REMOVED", moved, end, F.when(end.isNull(), "all but new").otherwise(seat)), one("APPOINTED", moved, start, seat)],
-        "committee departure": [one("REMOVED", F.coalesce(house_member(text), transfer_member(text)), left_body(text), seat)],
-        "appointment": [one("REMOVED", replaced_member(text), appointed_body(text), seat)],
+    raw, flat = F.col(text), F.col("ev_flat")
+    fields = {
+        "kind": kind(flat), "day": effective_day(flat, printed), "signed": F.coalesce(house_member(raw), transfer_member(raw)), "house": house_member(raw), "senate": senate_member(flat),
+        "speaker": speaker_member(flat), "dead": dead_member(flat), "moved": transfer_member(raw), "start": transfer_to(flat), "end": transfer_from(flat), "left": left_body(flat),
+        "replaced": replaced_member(flat), "seat": appointed_body(flat),
     }
-    out = F.when(F.lit(False), F.array(one("", none, none, none)))
-    for name, found in by_kind.items():
-        out = out.when(k == name, F.array(*found))
-    whole = F.filter(out, lambda e: e["member"].isNotNull() & ((e["scope"] != "committee") | e["body"].isNotNull()))
-    # a transfer counts only with its new committee
-    return F.coalesce(F.when((k == "transfer") & start.isNull(), F.slice(whole, 1, 0)).otherwise(whole), F.array().cast(whole_type()))
-
-
-def whole_type() -> str:
-    return "array<struct<action:string,member:string,body:string,effective:date,scope:string>>"
+    staged = df.withColumn("ev_flat", cu.flat(raw)).withColumns({f"ev_{name}": c for name, c in fields.items()})
+    ev = {name: F.col(f"ev_{name}") for name in fields}
+    none, chamber, committee = F.lit(None).cast("string"), F.lit("chamber"), F.lit("committee")
+    one = lambda action, member, body, scope: F.struct(F.lit(action).alias("action"), member.alias("member"), body.alias("body"), ev["day"].alias("effective"), scope.alias("scope"))
+    found = (
+        F.when(ev["kind"] == "death", F.array(one("REMOVED", ev["dead"], none, chamber)))
+        .when(ev["kind"] == "house resignation", F.array(one("REMOVED", ev["house"], none, chamber)))
+        .when(ev["kind"] == "senate exit", F.array(one("REMOVED", ev["senate"], none, chamber)))
+        .when(ev["kind"] == "speaker", F.array(one("REMOVED", ev["speaker"], none, chamber)))
+        .when((ev["kind"] == "transfer") & ev["start"].isNotNull(), F.array(one("REMOVED", ev["moved"], ev["end"], F.when(ev["end"].isNull(), "all but new").otherwise("committee")), one("APPOINTED", ev["moved"], ev["start"], committee)))
+        .when(ev["kind"] == "committee departure", F.array(one("REMOVED", ev["signed"], ev["left"], committee)))
+        .when(ev["kind"] == "appointment", F.array(one("REMOVED", ev["replaced"], ev["seat"], committee)))
+    )
+    whole = F.filter(found, lambda e: e["member"].isNotNull() & ((e["scope"] != "committee") | e["body"].isNotNull()))
+    out = staged.withColumn(to, F.coalesce(whole, F.array().cast(EVENTS)))
+    return out.drop("ev_flat", *(f"ev_{name}" for name in fields))

@@ -32,21 +32,35 @@ def roster_removals(prior: DataFrame, new: DataFrame, group: list[str], member:
 def temporal_lookup(facts: DataFrame, dims: DataFrame, key: str, day: str, value: str, fallback: Column, dim_key: str | None = None) -> DataFrame:
     """The dimension value valid on the fact's day, the latest valid_from winning; else ``fallback``.
 
-    Facts keep their rows: the best dimension row is picked by an ordered aggregate over a row id.
+    Facts keep their rows: the best dimension row is picked by an ordered aggregate over key
+    and day; of rows that begin on one day the greatest value counts.
     """
     dim_key = dim_key or key
     dims = dims.select(F.col(dim_key).alias("_k"), "valid_from", "valid_to", F.col(value).alias("_v"))
     fits = (F.col(key) == F.col("_k")) & contains(F.col("valid_from"), F.col("valid_to"), F.col(day))
     days = facts.select(key, day).distinct()
-    best = days.join(dims, fits).groupBy(key, day).agg(F.max_by("_v", "valid_from").alias("_best"))
+    best = days.join(dims, fits).groupBy(key, day).agg(F.max_by("_v", F.struct("valid_from", "_v")).alias("_best"))
     return facts.join(best, [key, day], "left").withColumn(value, F.coalesce("_best", fallback)).drop("_best")
 
 
-def clip_join(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs of ranges of a and b that meet, cut to their intersection; b's columns come along."""
+def clip_join(a: DataFrame, b: DataFrame, on: list[str], most: int = 100_000) -> DataFrame:
+    """Pairs of ranges of a and b that meet, cut to their intersection; b's columns come along.
+
+    Without a key b is sent to every task while it has at most ``most`` rows; beyond that
+    both sides meet by the years they touch, each pair in the first year they share.
+    """
     b = b.withColumnsRenamed({"valid_from": "_from", "valid_to": "_to"})
     meets = overlaps(F.col("valid_from"), F.col("valid_to"), F.col("_from"), F.col("_to"))
-    joined = a.join(b, on).filter(meets) if on else a.join(F.broadcast(b), meets)
+    if on:
+        joined = a.join(b, on).filter(meets)
+    elif b.limit(most + 1).count() <= most:
+        joined = a.join(F.broadcast(b), meets)
+    else:
+        ends = [df.agg(F.max(F.year(F.greatest(F.col(f), F.coalesce(t, f))))).first()[0] for df, f, t in ((a, "valid_from", "valid_to"), (b, "_from", "_to"))]
+        last = max([e for e in ends if e is not None], default=0)
+        touched = lambda f, t: F.explode(F.sequence(F.year(f), F.coalesce(F.year(t), F.lit(last)))).alias("_year")
+        joined = a.select("*", touched("valid_from", "valid_to")).join(b.select("*", touched("_from", "_to")), "_year")
+        joined = joined.filter(meets & (F.year(F.greatest("valid_from", "_from")) == F.col("_year"))).drop("_year")
     return joined.withColumns({"valid_from": F.greatest("valid_from", "_from"), "valid_to": F.least("valid_to", "_to")}).drop("_from", "_to")
 
 

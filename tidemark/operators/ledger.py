@@ -23,9 +23,17 @@ def insert_ignore(table: DataFrame, new: DataFrame, *keys: list[str]) -> DataFra
     return table.unionByName(new)
 
 
-def upsert(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` replace those of ``table`` with the same key."""
-    return _null_safe(table, new, keys, "left_anti").unionByName(new)
+def upsert(table: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Rows of ``new`` replace those of ``table`` with the same key.
+
+    Of several new rows with one key the greatest by ``order`` (all other columns, if none is
+    given) counts. A key with a null matches no other row, so such rows are added.
+    """
+    order = order or [c for c in new.columns if c not in keys]
+    whole = F.struct(*new.columns)
+    keyed = F.forall(F.array(*(F.col(k).isNotNull() for k in keys)), lambda x: x)
+    one = new.filter(keyed).groupBy(*keys).agg(F.max_by(whole, F.struct(*order)).alias("row")).select("row.*") if order else new.filter(keyed).distinct()
+    return table.join(new.select(*keys), keys, "left_anti").select(table.columns).unionByName(one).unionByName(new.filter(~keyed))
 
 
 def upsert_fill(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -36,14 +36,17 @@ def replay_anchored(observations: DataFrame, scope: list[str]) -> DataFrame:
     def run(pdf):
         import pandas as pd
 
-        listed: list[str] = []
-        for row in pdf.sort_values("position").itertuples():
-            if row.full_roster:
-                listed = []
-            listed = [m for m in listed if m != row.member]
-            at = listed.index(row.after) + 1 if isinstance(row.after, str) and row.after in listed else len(listed)
-            listed.insert(at, row.member)
-        out = pd.DataFrame({"seq": range(1, len(listed) + 1), "member": listed})
+        from .rank_intervals import LinkedList
+
+        pdf = pdf.sort_values("position")
+        listed = LinkedList()
+        for member, after, roster in zip(pdf["member"].tolist(), pdf["after"].tolist(), pdf["full_roster"].tolist()):
+            if roster:
+                listed = LinkedList()
+            listed.drop(member)
+            listed.put({"member": member, "name": ""}, listed.by_member.get(after))
+        names = [e["member"] for e in listed]
+        out = pd.DataFrame({"seq": range(1, len(names) + 1), "member": names})
         for c in reversed(scope):
             out.insert(0, c, pdf[c].iloc[0])
         return out

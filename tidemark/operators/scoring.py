@@ -51,6 +51,22 @@ def narrow(candidates: DataFrame, query: list[str], *tests: Column) -> DataFrame
     return candidates
 
 
+def narrowed_lookup(queries: DataFrame, members: DataFrame, base: list[str], tests: list[str], query: str, found: str) -> DataFrame:
+    """query and the one member left, as narrow() and unique() give it for equality tests.
+
+    Members are counted once for each level of keys that can be left; a query looks its
+    levels up, best first, and never meets the single members. ``tests``: most important first.
+    """
+    out = queries
+    levels = []
+    for bits in range((1 << len(tests)) - 1, -1, -1):
+        keys = [*base, *(t for i, t in enumerate(tests) if bits >> (len(tests) - 1 - i) & 1)]
+        level = members.groupBy(*keys).agg(F.struct(F.min(found).alias("lo"), F.max(found).alias("hi")).alias(f"level_{bits}"))
+        out = out.join(level, keys, "left")
+        levels.append(F.col(f"level_{bits}"))
+    return out.withColumn("left", F.coalesce(*levels)).filter("left.lo = left.hi").select(query, F.col("left.lo").alias(found))
+
+
 def unique(candidates: DataFrame, query: list[str], found: str) -> DataFrame:
     """query and the candidate, for queries with exactly one distinct candidate left."""
     counts = candidates.groupBy(*query).agg(F.min(found).alias("_lo"), F.max(found).alias("_hi"))

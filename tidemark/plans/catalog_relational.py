@@ -138,8 +138,9 @@ def release_ids(spark, d):
 
 def propagate_group_flag(spark, d):
     rows = table(spark, d, "documents").select("doc_id", "source").join(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "left")
-    flag = F.max(F.coalesce("toxic", F.lit(0))).over(Window.partitionBy("source"))
-    return rows.select("doc_id", flag.alias("group_flag"))
+    flags = rows.groupBy(F.col("source").alias("s")).agg(F.max(F.coalesce("toxic", F.lit(0))).alias("group_flag"))
+    flags = F.broadcast(flags) if flags.limit(100_001).count() <= 100_000 else flags
+    return rows.join(flags, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "group_flag")
 
 
 def zero_row_sources(spark, d):
@@ -164,10 +165,8 @@ def observed_snapshot(spark, d):
 def resolve_entities(spark, d):
     """Customers by the last three digits of their name, narrowed by nation, then segment."""
     c = table(spark, d, "customer").select("c_custkey", F.substring("c_name", -3, 3).alias("last"), "c_nationkey", "c_mktsegment")
-    q = c.select(F.col("c_custkey").alias("q"), "last", F.col("c_nationkey").alias("qn"), F.col("c_mktsegment").alias("qs"))
-    met = q.join(c, "last")
-    left = scoring.narrow(met, ["q"], F.col("qn") == F.col("c_nationkey"), F.col("qs") == F.col("c_mktsegment"))
-    return scoring.unique(left, ["q"], "c_custkey")
+    q = c.select(F.col("c_custkey").alias("q"), "last", "c_nationkey", "c_mktsegment")
+    return scoring.narrowed_lookup(q, c, ["last"], ["c_nationkey", "c_mktsegment"], "q", "c_custkey")
 
 
 def snapshot_replace(spark, d):
@@ -206,6 +205,6 @@ SQL = {
     "zero_row_sources": "SELECT 'src' || i AS source FROM range(0, 30) r(i) WHERE 'src' || i NOT IN (SELECT source FROM documents)",
     "semi_filter_members": "SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
     "observed_snapshot": "SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '1998-06-01' AND DATE '1998-06-01' < CAST(l_shipdate AS DATE) + 90 AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)",
-    "resolve_entities": "WITH m AS (SELECT q.c_custkey AS q, c.c_custkey, q.c_nationkey = c.c_nationkey AS a, q.c_mktsegment = c.c_mktsegment AS b FROM customer q JOIN customer c ON right(q.c_name, 3) = right(c.c_name, 3) WHERE q.c_custkey % 2 = 0), n1 AS (SELECT * FROM m QUALIFY a OR NOT bool_or(a) OVER (PARTITION BY q)), n2 AS (SELECT * FROM n1 QUALIFY b OR NOT bool_or(b) OVER (PARTITION BY q)) SELECT q, min(c_custkey) AS c_custkey FROM n2 GROUP BY q HAVING count(DISTINCT c_custkey) = 1",
+    "resolve_entities": "WITH m AS (SELECT q.c_custkey AS q, c.c_custkey, q.c_nationkey = c.c_nationkey AS a, q.c_mktsegment = c.c_mktsegment AS b FROM customer q JOIN customer c ON right(q.c_name, 3) = right(c.c_name, 3)), n1 AS (SELECT * FROM m QUALIFY a OR NOT bool_or(a) OVER (PARTITION BY q)), n2 AS (SELECT * FROM n1 QUALIFY b OR NOT bool_or(b) OVER (PARTITION BY q)) SELECT q, min(c_custkey) AS c_custkey FROM n2 GROUP BY q HAVING count(DISTINCT c_custkey) = 1",
     "snapshot_replace": f"WITH {HALVES} SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new) AND o_custkey NOT IN (SELECT o_custkey FROM new) UNION ALL SELECT * FROM new",
 }
