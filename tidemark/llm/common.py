@@ -79,5 +79,13 @@ def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if table_bytes(df) <= max_bytes else df
 
 
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """``n`` names that no column of ``df`` has, in any case."""
+    taken, prefix = {c.lower() for c in df.columns}, "field_"
+    while any(f"{prefix}{i}" in taken for i in range(n)):
+        prefix += "_"
+    return [f"{prefix}{i}" for i in range(n)]
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

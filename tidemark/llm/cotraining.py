@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free_names
 from .features import SHAPE, shape, trigram_counts
 
 GRAMS, META = 1024, 64
@@ -265,8 +265,9 @@ def score(docs: DataFrame, model: CoTrained, threshold: float = 0.5) -> DataFram
     new = ("cotrain_score", "cotrain_kept")
     docs = docs.select(*(c for c in docs.columns if c not in new))
     schema = docs.select("*", F.lit(0.0).alias(new[0]), F.lit(True).alias(new[1])).schema
-    # the four fields stand first, under names that no function looks at
-    fields = docs.select(*(F.col(c).alias(f"{i}") for i, c in enumerate(("text", "source", "lang"))), F.col("n_chars").cast("long").alias("3"), "*")
+    # the four fields stand first, under names that no column has
+    names = free_names(docs, 4)
+    fields = docs.select(*(F.col(c).alias(n) for n, c in zip(names, ("text", "source", "lang"))), F.col("n_chars").cast("long").alias(names[3]), "*")
 
     def run(batches):
         import pyarrow as pa
