@@ -42,6 +42,15 @@ def test_resolution_levels(spark):
     assert got == {i: a[5] for i, a in enumerate(asked)}
 
 
+def test_second_attempt_takes_the_party_of_the_roster(spark):
+    since = D(2000, 1, 1)
+    members = [(1, m, first, None, last, None, "OH", party, "M", since, None) for m, first, last, party in [("A", "Al", "Low", "D"), ("B", "Bo", "Low", "R"), ("C", "Cy", "Ash", "D"), ("E", "Ed", "Fox", "R")]]
+    asked = {1: ("Low", 1), 2: ("Ash", 1), 3: ("Low", 2), 4: ("Ash", 2), 5: ("Fox", 2), 6: ("Low", 3), 7: ("Nobody", 1), 8: ("Low", None), 9: ("Ash", None)}
+    mentions = spark.createDataFrame([(i, 1, raw, None, None, None, None, block) for i, (raw, block) in asked.items()], MENTION + ", block int")
+    got = {r.id: r.member for r in resolve.resolve_with_retry(mentions, spark.createDataFrame(members, MEMBER), ["scope"], ["block"]).collect()}
+    assert got == {1: "A", 2: "C", 3: None, 4: "C", 5: "E", 6: None, 7: None, 8: None, 9: "C"}
+
+
 OBS = "scope int, day date, number int, block int, ordinal int, observation string, member string, raw string, party int, after string, after_raw string, full_roster boolean"
 
 

@@ -97,6 +97,18 @@ def test_conflicting_metadata_is_refused(spark):
         ledger.require_none(ledger.conflicts(df, ["h"], ["meta"]), "conflicting metadata")
 
 
+def test_fill_takes_one_of_repeated_rows_and_adds_null_keys(spark):
+    df = lambda rows: spark.createDataFrame(rows, "k int, v int, w int")
+    out = ledger.upsert_fill(df([(1, None, 5), (2, 7, None)]), df([(1, 3, 9), (1, 4, 1), (2, 8, 8), (None, 1, 1), (None, 1, 1), (3, 2, None)]), ["k"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, 4, 5), (2, 7, 8), (None, 1, 1), (None, 1, 1), (3, 2, None)], key=str)
+
+
+def test_sole_value_with_null_groups(spark):
+    df = spark.createDataFrame([(None, 1, None), (None, 2, "x"), ("a", 3, "y"), ("a", 4, "z"), ("a", 5, None), ("b", 6, None)], "g string, id int, v string")
+    got = {r.id: r.v for r in islands.sole_value(df, ["g"], "v").collect()}
+    assert got == {1: "x", 2: "x", 3: "y", 4: "z", 5: None, 6: None}
+
+
 def test_names_fold_accents():
     assert tx.fold_name(pd.Series(["García  O'Neill", "Yıldız", None])).tolist() == ["garcia o neill", "yildiz", None]
 

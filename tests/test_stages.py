@@ -38,6 +38,20 @@ def test_failure_keeps_the_prefix_and_changes_start_anew(spark, tmp_path):
     assert len(ran) == 7
 
 
+def test_changed_code_and_a_broken_off_ledger(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "ids"))
+    inputs, folder, ran = {"ids": str(tmp_path / "ids")}, tmp_path / "run", []
+    run_stages(spark, plan(ran), inputs, str(folder))
+    (folder / LEDGER).rename(folder / f"new_{LEDGER}")
+    run_stages(spark, plan(ran), inputs, str(folder))
+    assert len(ran) == 2
+    changed = plan(ran)[:1] + [Stage("doubled", lambda spark, kept: kept.selectExpr("3 * id AS id"), ("kept",))]
+    out = run_stages(spark, changed, inputs, str(folder))
+    assert sorted(r.id for r in out["doubled"].collect()) == [3, 6, 9] and len(ran) == 2
+    again = plan(ran)[:1] + [Stage("doubled", lambda spark, kept: kept.selectExpr("4 * id AS id"), ("kept",))]
+    assert sorted(r.id for r in run_stages(spark, again, inputs, str(folder))["doubled"].collect()) == [4, 8, 12]
+
+
 def test_plans_that_cannot_run_are_refused():
     with pytest.raises(ValueError, match="needs kept"):
         check_plan(plan([])[::-1], {"ids": ""})

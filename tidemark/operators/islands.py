@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,10 +48,11 @@ def merge_adjacent(df: DataFrame, keys: list[str], attributes: list[str], start:
 
 
 def sole_value(df: DataFrame, group: list[str], column: str) -> DataFrame:
-    """Fill nulls by the group's value where it has exactly one."""
-    w = Window.partitionBy(*group)
-    only = F.when(F.min(column).over(w) == F.max(column).over(w), F.min(column).over(w))
-    return df.withColumn(column, F.coalesce(F.col(column), only))
+    """Fill nulls by the group's value where it has exactly one; groups are aggregated, then joined back."""
+    names = {g: f"_{g}" for g in group}
+    only = df.groupBy(*(F.col(g).alias(n) for g, n in names.items())).agg(F.min(column).alias("_only"), F.max(column).alias("_most"))
+    same = reduce(Column.__and__, (F.col(g).eqNullSafe(F.col(n)) for g, n in names.items()))
+    return df.join(only.filter("_only = _most"), same, "left").withColumn(column, F.coalesce(column, "_only")).select(df.columns)
 
 
 def carry_forward(df: DataFrame, keys: list[str], order: list[str], column: str, to: str) -> DataFrame:

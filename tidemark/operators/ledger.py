@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _same(keys: list[str]) -> Column:
+    """Each key equals its namesake with an underscore, nulls being values."""
+    return reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+
+
 def _null_safe(a: DataFrame, b: DataFrame, keys: list[str], how: str) -> DataFrame:
     right = b.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return a.join(right, match, how)
+    return a.join(right, _same(keys), how)
 
 
 def insert_ignore(table: DataFrame, new: DataFrame, *keys: list[str]) -> DataFrame:
@@ -23,23 +27,30 @@ def insert_ignore(table: DataFrame, new: DataFrame, *keys: list[str]) -> DataFra
     return table.unionByName(new)
 
 
+def _one_each(new: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+    """The greatest row of each key by ``order`` (else all other columns); rows with a null in the key all stay."""
+    order = order or [c for c in new.columns if c not in keys]
+    keyed = F.forall(F.array(*(F.col(k).isNotNull() for k in keys)), lambda x: x)
+    if not order:
+        return new.filter(keyed).distinct().unionByName(new.filter(~keyed))
+    one = new.filter(keyed).groupBy(*keys).agg(F.max_by(F.struct(*new.columns), F.struct(*order)).alias("row"))
+    return one.select("row.*").unionByName(new.filter(~keyed))
+
+
 def upsert(table: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Rows of ``new`` replace those of ``table`` with the same key.
 
     Of several new rows with one key the greatest by ``order`` (all other columns, if none is
     given) counts. A key with a null matches no other row, so such rows are added.
     """
-    order = order or [c for c in new.columns if c not in keys]
-    whole = F.struct(*new.columns)
-    keyed = F.forall(F.array(*(F.col(k).isNotNull() for k in keys)), lambda x: x)
-    one = new.filter(keyed).groupBy(*keys).agg(F.max_by(whole, F.struct(*order)).alias("row")).select("row.*") if order else new.filter(keyed).distinct()
-    return table.join(new.select(*keys), keys, "left_anti").select(table.columns).unionByName(one).unionByName(new.filter(~keyed))
+    new = _one_each(new, keys, order)
+    return table.join(new.select(*keys), keys, "left_anti").select(table.columns).unionByName(new)
 
 
-def upsert_fill(table: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def upsert_fill(table: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """As upsert, but a value already there stays."""
     values = [c for c in table.columns if c not in keys]
-    new = new.select(*keys, *(F.col(c).alias(f"_{c}") for c in values))
+    new = _one_each(new, keys, order).select(*keys, *(F.col(c).alias(f"_{c}") for c in values))
     return table.join(new, keys, "full_outer").select(*keys, *(F.coalesce(c, f"_{c}").alias(c) for c in values))
 
 
@@ -84,8 +95,12 @@ def require_none(df: DataFrame, what: str) -> None:
 
 
 def survivors(df: DataFrame, identity: list[str], row_id: str) -> DataFrame:
-    """row_id, keep_id: the smallest id of each identity, nulls being values."""
-    return df.select(row_id, F.min(row_id).over(Window.partitionBy(*identity)).alias("keep_id"))
+    """row_id, keep_id: the smallest id of each identity, nulls being values.
+
+    Identities are aggregated and joined back, so a much-repeated one needn't fit in a task.
+    """
+    keep = df.groupBy(*(F.col(k).alias(f"_{k}") for k in identity)).agg(F.min(row_id).alias("keep_id"))
+    return df.join(keep, _same(identity)).select(row_id, "keep_id")
 
 
 def repoint(df: DataFrame, mapping: DataFrame, column: str, row_id: str) -> DataFrame:

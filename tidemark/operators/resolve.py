@@ -71,6 +71,23 @@ def resolve_members(mentions: DataFrame, members: DataFrame, scope: list[str]) -
     return out.select("id", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("member"), status.alias("status"))
 
 
+def resolve_with_retry(mentions: DataFrame, members: DataFrame, scope: list[str], block: list[str]) -> DataFrame:
+    """As resolve_members, with a second attempt for mentions that stay open and state no party.
+
+    Where the members found in a ``block`` (a roster) are all of one party, that party is asked
+    for there; blocks of several parties or none get no second attempt. A member whose rows
+    name several parties tells nothing.
+    """
+    first = resolve_members(mentions, members, scope)
+    party = members.groupBy(*scope, "member").agg(F.min("party").alias("lo"), F.max("party").alias("hi")).filter("lo = hi")
+    placed = mentions.select("id", *dict.fromkeys([*scope, *block])).join(first.filter("status = 'resolved'").select("id", "member"), "id").join(party, [*scope, "member"])
+    told = placed.groupBy(*block).agg(F.min("lo").alias("told"), F.max("lo").alias("most")).filter("told = most").select(*block, "told")
+    again = mentions.filter("party IS NULL").join(first.filter("status <> 'resolved'").select("id"), "id", "left_semi")
+    again = again.join(told, block).withColumn("party", F.col("told")).select(mentions.columns)
+    second = resolve_members(again, members, scope).filter("status = 'resolved'")
+    return first.join(second.select("id"), "id", "left_anti").unionByName(second)
+
+
 def agreeing(attempts: DataFrame, query: list[str], found: str) -> DataFrame:
     """Of several attempts (both chambers of a joint body) the one answer, if all answers agree."""
     answers = attempts.filter(F.col(found).isNotNull()).groupBy(*query).agg(F.min(found).alias("lo"), F.max(found).alias("hi"))

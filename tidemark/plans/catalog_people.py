@@ -44,14 +44,23 @@ def _members(spark, d):
     )
 
 
-def resolve_names(spark, d):
-    mentions = table(spark, d, "customer").selectExpr(
+def _mentions(spark, d):
+    return table(spark, d, "customer").selectExpr(
         "c_custkey AS id", "c_nationkey AS scope",
         "CASE c_custkey % 4 WHEN 0 THEN 'Mr. Famb' WHEN 1 THEN 'Ms. Famc of Ohio' WHEN 2 THEN element_at(array('Jim', 'Anna', 'Bill', 'Ruth'), CAST(floor(c_custkey / 4) % 4 AS INT) + 1) || ' Q. Famc' ELSE 'Fama' END AS raw",
         "CASE WHEN c_custkey % 3 > 0 THEN make_date(2005 + CAST(c_custkey % 20 AS INT), 6, 1) END AS day", "CAST(NULL AS STRING) AS state",
         "CASE WHEN c_custkey % 5 = 0 THEN 'D' END AS party", "CASE WHEN c_custkey % 7 = 0 THEN 'F' END AS gender",
     )
-    return rs.resolve_members(mentions, _members(spark, d), ["scope"])
+
+
+def resolve_names(spark, d):
+    return rs.resolve_members(_mentions(spark, d), _members(spark, d), ["scope"])
+
+
+def resolve_names_retry(spark, d):
+    """Rosters of three mentions; parties of those found help the others."""
+    rosters = _mentions(spark, d).withColumn("block", F.floor(F.col("id") / 3))
+    return rs.resolve_with_retry(rosters, _members(spark, d), ["scope"], ["block"])
 
 
 def caucus_party(spark, d):
@@ -102,22 +111,13 @@ def get_or_create(spark, d):
     return pick.get_or_create(wanted, held, ["c_nationkey", "c_mktsegment"], "id")
 
 
-_Q = [person_names, given_names, coded_people, resolve_names, caucus_party, resolve_bodies, rank_intervals, text_events, get_or_create]
+_Q = [person_names, given_names, coded_people, resolve_names, resolve_names_retry, caucus_party, resolve_bodies, rank_intervals, text_events, get_or_create]
 QUERIES = {f.__name__: f for f in _Q}
 
 _SEG_SQL = "substring(c_mktsegment, 1, 1) || lower(substring(c_mktsegment, 2))"
 _DAY_SQL = "DATE '2020-01-01' + CAST(c_custkey % 700 AS INTEGER)"
 _NONE = "DATE '2018-05-06'"
-SQL = {
-    "person_names": f"""
-SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'jose ' || lower(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN lower(c_mktsegment) WHEN 3 THEN strip_accents('señora ') || lower(c_mktsegment) END AS name,
-       CASE WHEN c_custkey % 5 = 1 THEN 'NY' END AS state, CASE c_custkey % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS gender FROM customer""",
-    "given_names": """
-WITH p AS (SELECT c_custkey, ['jim', 'james', 'bob', 'robert', 'tony', 'anne', 'will', 'bill'] AS g, ['james', 'james', 'robert', 'robert', 'anthony', 'anne', 'william', 'william'] AS f, c_custkey % 8 + 1 AS i, (c_custkey // 8) % 8 + 1 AS j FROM customer)
-SELECT c_custkey, f[i] = f[j] AS same, (f[i] = f[j] OR contains(g[i], g[j]) OR contains(g[j], g[i])) AS meet FROM p""",
-    "coded_people": "SELECT c_custkey, CASE c_custkey % 4 WHEN 2 THEN 'R' WHEN 3 THEN NULL ELSE 'D' END AS party, CASE c_custkey % 4 WHEN 0 THEN 'M' WHEN 2 THEN NULL ELSE 'F' END AS gender, CASE c_custkey % 4 WHEN 0 THEN 'OH' WHEN 1 THEN 'TX' WHEN 3 THEN 'PR' END AS state FROM customer",
-    "resolve_names": """
-WITH m AS (
+_PEOPLE_SQL = """m AS (
   SELECT s_nationkey AS scope, CAST(s_suppkey AS VARCHAR) AS member, ['james', 'anna', 'william', 'ruth'][s_suppkey % 4 + 1] AS given, ['fama', 'famb', 'famc'][s_suppkey % 3 + 1] AS last,
          ['OH', 'TX'][s_suppkey % 2 + 1] AS state, CASE WHEN s_suppkey % 5 < 2 THEN 'D' ELSE 'R' END AS party, CASE WHEN s_suppkey % 2 = 1 THEN 'F' ELSE 'M' END AS gender, CASE WHEN s_suppkey % 7 = 0 THEN DATE '2015-01-01' ELSE DATE '9999-01-01' END AS until
   FROM supplier
@@ -125,14 +125,39 @@ WITH m AS (
   SELECT c_custkey AS id, c_nationkey AS scope, c_custkey % 4 AS kind, ['famb', 'famc', 'famc', 'fama'][c_custkey % 4 + 1] AS last, ['james', 'anna', 'william', 'ruth'][(c_custkey // 4) % 4 + 1] AS given,
          CASE WHEN c_custkey % 3 > 0 THEN make_date(2005 + c_custkey % 20, 6, 1) END AS day, CASE WHEN c_custkey % 4 = 1 THEN 'OH' END AS state, CASE WHEN c_custkey % 5 = 0 THEN 'D' END AS party, CASE WHEN c_custkey % 7 = 0 THEN 'F' END AS gender
   FROM customer
-), met AS (
+)"""
+
+
+def _narrowed(asked: str, tag: str) -> str:
+    """CTEs from the mentions ``asked`` to f (id, n, member), all named with ``tag``."""
+    return f"""met{tag} AS (
   SELECT q.id, m.member, coalesce(m.state = q.state, FALSE) AS s, coalesce(m.party = q.party, FALSE) AS p, coalesce(m.gender = q.gender, FALSE) AS g, count(*) OVER (PARTITION BY q.id) AS n, q.kind
-  FROM q JOIN m ON q.scope = m.scope AND q.last = m.last AND (q.kind <> 2 OR q.given = m.given) AND (q.day IS NULL OR q.day < m.until)
-), a AS (SELECT *, bool_or(s) OVER (PARTITION BY id) AS any_s FROM met WHERE kind <> 3 OR n = 1),
-b AS (SELECT *, bool_or(p) OVER (PARTITION BY id) AS any_p FROM a WHERE s OR NOT any_s),
-c AS (SELECT *, bool_or(g) OVER (PARTITION BY id) AS any_g FROM b WHERE p OR NOT any_p),
-f AS (SELECT id, count(*) AS n, min(member) AS member FROM c WHERE g OR NOT any_g GROUP BY id)
+  FROM {asked} q JOIN m ON q.scope = m.scope AND q.last = m.last AND (q.kind <> 2 OR q.given = m.given) AND (q.day IS NULL OR q.day < m.until)
+), a{tag} AS (SELECT *, bool_or(s) OVER (PARTITION BY id) AS any_s FROM met{tag} WHERE kind <> 3 OR n = 1),
+b{tag} AS (SELECT *, bool_or(p) OVER (PARTITION BY id) AS any_p FROM a{tag} WHERE s OR NOT any_s),
+c{tag} AS (SELECT *, bool_or(g) OVER (PARTITION BY id) AS any_g FROM b{tag} WHERE p OR NOT any_p),
+f{tag} AS (SELECT id, count(*) AS n, min(member) AS member FROM c{tag} WHERE g OR NOT any_g GROUP BY id)"""
+
+
+SQL = {
+    "person_names": f"""
+SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'jose ' || lower(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN lower(c_mktsegment) WHEN 3 THEN strip_accents('señora ') || lower(c_mktsegment) END AS name,
+       CASE WHEN c_custkey % 5 = 1 THEN 'NY' END AS state, CASE c_custkey % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS gender FROM customer""",
+    "given_names": """
+WITH p AS (SELECT c_custkey, ['jim', 'james', 'bob', 'robert', 'tony', 'anne', 'will', 'bill'] AS g, ['james', 'james', 'robert', 'robert', 'anthony', 'anne', 'william', 'william'] AS f, c_custkey % 8 + 1 AS i, (c_custkey // 8) % 8 + 1 AS j FROM customer)
+SELECT c_custkey, f[i] = f[j] AS same, (f[i] = f[j] OR contains(g[i], g[j]) OR contains(g[j], g[i])) AS meet FROM p""",
+    "coded_people": "SELECT c_custkey, CASE c_custkey % 4 WHEN 2 THEN 'R' WHEN 3 THEN NULL ELSE 'D' END AS party, CASE c_custkey % 4 WHEN 0 THEN 'M' WHEN 2 THEN NULL ELSE 'F' END AS gender, CASE c_custkey % 4 WHEN 0 THEN 'OH' WHEN 1 THEN 'TX' WHEN 3 THEN 'PR' END AS state FROM customer",
+    "resolve_names": f"""
+WITH {_PEOPLE_SQL}, {_narrowed("q", "")}
 SELECT q.id, CASE WHEN f.n = 1 THEN f.member END AS member, CASE WHEN f.n IS NULL THEN 'unknown' WHEN f.n = 1 THEN 'resolved' ELSE 'ambiguous' END AS status FROM q LEFT JOIN f USING (id)""",
+    "resolve_names_retry": f"""
+WITH {_PEOPLE_SQL}, {_narrowed("q", "")},
+told AS (SELECT f.id // 3 AS block, min(m.party) AS told FROM f JOIN m USING (member) WHERE f.n = 1 GROUP BY f.id // 3 HAVING min(m.party) = max(m.party)),
+r AS (SELECT q.* REPLACE (told.told AS party) FROM q JOIN told ON told.block = q.id // 3 LEFT JOIN f ON f.id = q.id WHERE q.party IS NULL AND coalesce(f.n, 0) <> 1),
+{_narrowed("r", "2")}
+SELECT q.id, CASE WHEN f2.n = 1 THEN f2.member WHEN f.n = 1 THEN f.member END AS member,
+       CASE WHEN f2.n = 1 OR f.n = 1 THEN 'resolved' WHEN f.n IS NULL THEN 'unknown' ELSE 'ambiguous' END AS status
+FROM q LEFT JOIN f USING (id) LEFT JOIN f2 USING (id)""",
     "caucus_party": """
 SELECT o_custkey AS member, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 900 ELSE o_orderkey % 100 END AS INTEGER) AS caucus
 FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate <= DATE '1996-03-05' AND (o_orderkey % 5 = 0 OR DATE '1996-03-05' < CAST(o_orderdate AS DATE) + 200)

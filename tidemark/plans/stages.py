@@ -13,6 +13,7 @@ import json
 import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from types import CodeType
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +41,20 @@ def check_plan(stages: list[Stage], inputs: Mapping[str, str]) -> None:
         known.add(s.name)
 
 
+def _code(code: CodeType) -> list:
+    """A function's instructions, names and constants, those of inner functions included."""
+    fixed = [_code(c) if isinstance(c, CodeType) else sorted(map(repr, c)) if isinstance(c, frozenset) else repr(c) for c in code.co_consts]
+    return [code.co_code.hex(), code.co_names, fixed]
+
+
 def fingerprint(stage: Stage, before: Mapping[str, str]) -> str:
-    """SHA-256 of the stage's name, function name, parameters and what it reads; give a changed function a new parameter."""
-    said = {"name": stage.name, "code": getattr(stage.run, "__qualname__", ""), "params": stage.params, "reads": {n: before[n] for n in stage.needs}}
+    """SHA-256 of the stage's name, code, parameters and what it reads.
+
+    The code is that of the function itself; when one that it calls changes, give the stage a new parameter.
+    """
+    run = getattr(stage.run, "func", stage.run)
+    code = _code(run.__code__) if hasattr(run, "__code__") else getattr(run, "__qualname__", "")
+    said = {"name": stage.name, "code": code, "params": stage.params, "reads": {n: before[n] for n in stage.needs}}
     return hashlib.sha256(json.dumps(said, sort_keys=True, default=str).encode()).hexdigest()
 
 
@@ -59,10 +71,11 @@ def _files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
 
 def _read_ledger(spark: SparkSession, folder: str) -> dict[str, dict]:
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{LEDGER}")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return {}
-    return json.loads("\n".join(r.value for r in spark.read.text(f"{folder}/{LEDGER}").collect()))  # a line for each stage
+    for name in (LEDGER, f"new_{LEDGER}"):  # a run that broke off between delete and rename left the new one, whole
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return json.loads("\n".join(r.value for r in spark.read.text(path.toString()).collect()))  # a line for each stage
+    return {}
 
 
 def _write_ledger(spark: SparkSession, folder: str, ledger: dict[str, dict]) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import stat
 import zipfile
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from pathlib import Path, PurePosixPath
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape, quoteattr
@@ -18,10 +20,13 @@ EPOCH = (1980, 1, 1, 0, 0, 0)
 SHEET_ROWS = 1_048_576
 
 
-def _put(out: zipfile.ZipFile, name: str, content: bytes) -> None:
+def _put(out: zipfile.ZipFile, name: str, *content: bytes, more: Iterable[bytes] = ()) -> None:
+    """An entry of these blocks, written one after the other."""
     info = zipfile.ZipInfo(name, EPOCH)
     info.compress_type, info.external_attr, info.create_system = zipfile.ZIP_DEFLATED, 0o644 << 16, 3
-    out.writestr(info, content)
+    with out.open(info, "w", force_zip64=True) as entry:
+        for block in chain(content, more):
+            entry.write(block)
 
 
 def write_bundle(files: dict[str, str], path: str) -> None:
@@ -29,7 +34,8 @@ def write_bundle(files: dict[str, str], path: str) -> None:
     part = f"{path}.part"
     with zipfile.ZipFile(part, "w") as out:
         for name in sorted(files):
-            _put(out, name, Path(files[name]).read_bytes())
+            with open(files[name], "rb") as file:
+                _put(out, name, more=iter(lambda: file.read(1 << 20), b""))  # noqa: B023
     os.replace(part, path)
 
 
@@ -69,10 +75,12 @@ _PACKAGE = "http://schemas.openxmlformats.org/package/2006"
 _HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
 
 
-def _sheet(rows) -> bytes:
+def _sheet(rows) -> Iterator[bytes]:
     text = lambda v: f'<c t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
-    body = "".join(f'<row r="{i}">{"".join(map(text, row))}</row>' for i, row in enumerate(rows, 1))
-    return f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetData>{body}</sheetData></worksheet>'.encode()
+    yield f'{_HEAD}<worksheet xmlns="{_MAIN}"><sheetData>'.encode()
+    for i, row in enumerate(rows, 1):
+        yield f'<row r="{i}">{"".join(map(text, row))}</row>'.encode()
+    yield b"</sheetData></worksheet>"
 
 
 def write_workbook(sheets: dict[str, tuple[DataFrame, list[str]]], path: str) -> None:
@@ -98,7 +106,7 @@ def write_workbook(sheets: dict[str, tuple[DataFrame, list[str]]], path: str) ->
         for i, name in listed:
             df, order = sheets[name]
             rows = df.orderBy(*order).select(*(cell(df, c) for c in df.columns))
-            _put(out, f"xl/worksheets/sheet{i}.xml", _sheet([df.columns, *rows.toLocalIterator()]))
+            _put(out, f"xl/worksheets/sheet{i}.xml", more=_sheet(chain([df.columns], rows.toLocalIterator())))
     os.replace(part, path)
 
 

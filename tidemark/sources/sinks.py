@@ -34,18 +34,24 @@ def write_release_csv(df: DataFrame, path: str, order: list[str]) -> None:
     os.replace(part, path)
 
 
+def file_sha256(path: Path) -> str:
+    with path.open("rb") as file:
+        return hashlib.file_digest(file, "sha256").hexdigest()
+
+
 def write_metadata(folder: str, counts: dict[str, int], version: str) -> None:
     """release_metadata.json and SHA256SUMS over the files of ``folder``."""
     root = Path(folder)
     (root / "release_metadata.json").write_text(json.dumps({"row_counts": counts, "schema_version": version}, indent=2, sort_keys=True) + "\n")
-    sums = [f"{hashlib.sha256(p.read_bytes()).hexdigest()}  {p.name}\n" for p in sorted(root.iterdir()) if p.is_file() and p.name != "SHA256SUMS"]
+    sums = [f"{file_sha256(p)}  {p.name}\n" for p in sorted(root.iterdir()) if p.is_file() and p.name != "SHA256SUMS"]
     (root / "SHA256SUMS").write_text("".join(sums))
 
 
 def rebuild_partitions(df: DataFrame, path: str, column: str, requested: list) -> None:
     """Overwrite the requested partitions; one that got no rows is emptied, others stay."""
     spark = df.sparkSession
-    df.filter(F.col(column).isin(requested)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    df = df.filter(F.col(column).isin(requested))
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     filled = {r[0] for r in df.select(column).distinct().collect()}
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for value in set(requested) - filled:
@@ -55,7 +61,7 @@ def rebuild_partitions(df: DataFrame, path: str, column: str, requested: list) -
 
 def compare_folders(left: str, right: str) -> list[tuple[str, str]]:
     """(file, same | differs | left_only | right_only) by SHA-256."""
-    digest = lambda d: {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in Path(d).iterdir() if p.is_file()}
+    digest = lambda d: {p.name: file_sha256(p) for p in Path(d).iterdir() if p.is_file()}
     a, b = digest(left), digest(right)
     side = lambda n: "left_only" if n not in b else "right_only" if n not in a else "same" if a[n] == b[n] else "differs"
     return [(n, side(n)) for n in sorted(a | b)]
