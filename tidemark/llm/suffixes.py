@@ -254,12 +254,16 @@ def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_byt
     texts = rows.filter(F.col("kind") == 0).filter(F.col("n_words") >= how.min_words)
     same = texts.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"), F.first("n_words").alias("n_words"))
     same = cut(same, "equal-texts")
+    groups = small(cut(same.filter("rep < last").select("t1", "t2", "rep", "last"), "copies"), broadcast_bytes)
+    copied = cut(texts.select("doc_id", "t1", "t2", "n_words").join(groups, ["t1", "t2"]), "copied-texts")
+    later = cut(copied.filter("doc_id <> rep").select("doc_id", "t1").distinct(), "later-copies")
 
-    seeds = rows.filter("kind = 1").groupBy("seed").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).filter("lo <> hi").select("seed")
+    held = rows.filter("kind = 1").filter(F.col("n_words") >= how.min_words)
+    seeds = held.groupBy("seed").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).filter("lo <> hi").select("seed")
     seeds = cut(seeds, "contested-seeds")
-    places = rows.filter("kind = 1").select("seed", "doc_id", "t1", "pos").join(small(seeds, broadcast_bytes), "seed")
-    first = small(same.select(F.col("rep").alias("doc_id"), "t1"), broadcast_bytes)
-    places = cut(places.select("doc_id", "t1", "pos").join(first, ["doc_id", "t1"]).distinct(), "contested-suffixes")
+    places = held.select("seed", "doc_id", "t1", "pos").join(small(seeds, broadcast_bytes), "seed")
+    places = places.join(small(later, broadcast_bytes), ["doc_id", "t1"], "left_anti")
+    places = cut(places.select("doc_id", "t1", "pos").distinct(), "contested-suffixes")
 
     found = cut(_compare(_contexts(docs, places, how, broadcast_bytes), places.count(), how), "spans")
     spans = found.filter("passage IS NULL").select("doc_id", "t1", "start", "end", "other").unionByName(_across(found, how, broadcast_bytes))
@@ -273,8 +277,6 @@ def repeated_passages(docs: DataFrame, how: Passages = Passages(), broadcast_byt
     single = same.filter("rep = last").select(F.col("rep").alias("doc_id"), "t1", "n_words")
     spans = spans.join(single, ["doc_id", "t1"]).select("doc_id", "start_word", "end_word", "n_words", "other_doc_id")
 
-    groups = small(cut(same.filter("rep < last").select("t1", "t2", "rep", "last"), "copies"), broadcast_bytes)
-    whole = texts.select("doc_id", "t1", "t2", "n_words").join(groups, ["t1", "t2"])
     other = F.when(F.col("doc_id") == F.col("rep"), F.col("last")).otherwise(F.col("rep"))
-    whole = whole.select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), "n_words", other.alias("other_doc_id"))
+    whole = copied.select("doc_id", F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"), "n_words", other.alias("other_doc_id"))
     return spans.unionByName(whole)
