@@ -27,6 +27,9 @@ from .common import BROADCAST_BYTES, cut, small
 from .sets import STEP, U64, column_hashes, mixed, window_hashes, word_hashes
 from .tokens import text_slices
 
+#: Windows that are compared at once; argmin copies each of them.
+SLICE = 1 << 15
+
 TEXTS = "kind int, doc_id long, t1 long, t2 long, n_words long, seed long, pos int"
 SUFFIXES = "seed long, doc_id long, t1 long, pos int, n_words long, content binary, before binary"
 
@@ -54,7 +57,8 @@ def retained(h: np.ndarray, how: Passages) -> np.ndarray:
     if len(keys) < how.window:
         return np.arange(n)[:1] if not len(keys) else np.array([int(keys[:n].argmin())])
     views = np.lib.stride_tricks.sliding_window_view(keys, how.window)
-    chosen = np.unique(views.argmin(axis=1) + np.arange(len(views)))
+    chosen = [np.unique(views[lo : lo + SLICE].argmin(axis=1) + np.arange(lo, min(lo + SLICE, len(views)))) for lo in range(0, len(views), SLICE)]
+    chosen = np.unique(np.concatenate(chosen))
     return chosen[chosen < n]
 
 
@@ -113,7 +117,7 @@ def _contexts(docs: DataFrame, places: DataFrame, how: Passages, broadcast_bytes
                 for pos in lists_[i]:
                     begin = len(h) - pos
                     rows.append((int(seeds[pos]), doc_ids[i], t1s[i], pos, len(h), ahead[4 * pos : 4 * (pos + how.min_words)], back[4 * begin : 4 * (begin + how.window)]))
-                    if len(rows) == 4096:
+                    if len(rows) == 1024:
                         yield pack(rows)
                         rows = []
             if rows:
@@ -176,7 +180,7 @@ def _shared_passages(table, how: Passages) -> tuple[np.ndarray, ...]:
 SPANS = "doc_id long, t1 long, start long, end long, other long, passage binary, lo long, hi long, starts array<long>"
 
 
-def _compare(suffixes: DataFrame, n_suffixes: int, how: Passages, per_task: int = 100_000) -> DataFrame:
+def _compare(suffixes: DataFrame, n_suffixes: int, how: Passages, per_task: int = 50_000) -> DataFrame:
     """Spans within each sorted partition, and the passages of its first and last seed for the others.
 
     A task holds its partition, about ``per_task`` suffixes, as arrays: partitions grow in number, not in size.
