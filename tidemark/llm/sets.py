@@ -19,7 +19,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 #: Bytes of words that are hashed at once, and slices of texts.
-STEP = 1 << 18
+STEP = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
