@@ -38,7 +38,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_customer_is_resolved(spark):
-    """By an own loop over all customers; the query's SQL takes the even ones only."""
+    """By an own loop over all customers."""
     customers = duckdb.sql(f"SELECT c_custkey, right(c_name, 3), c_nationkey, c_mktsegment FROM '{DATA}/customer.parquet'").fetchall()
     expected = set()
     for key, last, nation, segment in customers:
