@@ -1,6 +1,7 @@
 """Every query of this subpackage, and the SQL of those that SQL can express."""
 
-from . import queries_basic, queries_corpus, queries_suffix
+from . import queries_basic, queries_corpus, queries_suffix, queries_tables
 
-QUERIES = {**queries_basic.QUERIES, **queries_corpus.QUERIES, **queries_suffix.QUERIES}
-SQL = {**queries_basic.SQL, **queries_corpus.SQL, **queries_suffix.SQL}
+PARTS = (queries_basic, queries_corpus, queries_suffix, queries_tables)
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
+SQL = {name: text for part in PARTS for name, text in part.SQL.items()}
