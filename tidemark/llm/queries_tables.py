@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import whitening
+from . import prefix_trie, whitening
 
 
 def op13_embedding_whitening(spark, sf_dir):
@@ -10,5 +10,9 @@ def op13_embedding_whitening(spark, sf_dir):
     return whitening.whiten(rows)
 
 
-QUERIES = {"op13_embedding_whitening": op13_embedding_whitening}
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op12_prefix_trie, op13_embedding_whitening)}
 SQL: dict[str, str] = {}
