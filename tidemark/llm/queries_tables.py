@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import prefix_trie, whitening
+from . import licenses, prefix_trie, whitening
+from .queries_basic import documents
 
 
 def op13_embedding_whitening(spark, sf_dir):
@@ -10,9 +11,46 @@ def op13_embedding_whitening(spark, sf_dir):
     return whitening.whiten(rows)
 
 
+def op11_license_scan(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op12_prefix_trie, op13_embedding_whitening)}
-SQL: dict[str, str] = {}
+def _sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _phrase_sql(phrase: str) -> str:
+    parts = phrase.split()
+    return "list_filter(range(len(w)), lambda i: " + " AND ".join(f"coalesce(w[i + {k + 1}] = '{p}', false)" for k, p in enumerate(parts)) + ")"
+
+
+_STEP = max(32, *(len(text.split()) for _, text in licenses.NOTICES))
+_NOTICE_ROWS = ", ".join(f"('{label}', {_sql_list(sorted(set(text.split())))})" for label, text in licenses.NOTICES)
+
+OP11_SQL = rf"""
+WITH base AS (
+  SELECT doc_id, row_number() OVER () AS uid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{licenses.LICENSE_WORD}') AS w FROM documents
+), notices(label, tokens) AS (VALUES {_NOTICE_ROWS}
+), blocks AS (
+  SELECT uid, list_distinct(w[b * {_STEP} + 1 : (b + 2) * {_STEP}]) AS block FROM (SELECT uid, w, unnest(range((len(w) + {_STEP - 1}) // {_STEP})) AS b FROM base)
+), shared AS (
+  SELECT uid, label, len(tokens) AS n, len(list_intersect(tokens, block)) AS k FROM blocks, notices
+), hits AS (
+  SELECT uid, list(label) AS more, max(k::DOUBLE / n) AS share FROM shared WHERE 10 * k >= 8 * n GROUP BY uid
+), phrases AS (
+  SELECT *, flatten(places) AS found, list_filter([{", ".join(f"CASE WHEN len(places[{k}]) > 0 THEN '{label}' END" for k, label in enumerate(licenses.PHRASES.values(), 1))}], lambda x: x IS NOT NULL) AS names
+  FROM (SELECT doc_id, uid, w, [{", ".join(map(_phrase_sql, licenses.PHRASES))}] AS places FROM base)
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(found) AS BIGINT) AS n_base, CAST(list_min(found) AS BIGINT) AS first_word, CAST(list_max(found) AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(list_distinct(names)), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(names, coalesce(more, [])))), ','), '') AS labels,
+       CASE WHEN len(found) > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0::DOUBLE) END AS score
+FROM phrases LEFT JOIN hits USING (uid)
+"""
+
+QUERIES = {f.__name__: f for f in (op11_license_scan, op12_prefix_trie, op13_embedding_whitening)}
+SQL = {"op11_license_scan": OP11_SQL}
