@@ -300,6 +300,8 @@ def test_empty_tables_and_clashing_columns(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert cotraining.score(none, cotraining.fit(none, labels)).count() == 0
+    one = spark.createDataFrame([(1, 'x', 'en', 'a', 1)], DOCS)
+    assert [r.cotrain_state for r in cotraining.score(one, cotraining.fit(one, labels)).collect()] == ['unfitted']
     clash = spark.createDataFrame([(1, "x " * 70, "en", "a", 3, 1, 2, 3)], f"{DOCS}, n_lines long, size long, component long")
     assert line_dedup.dedup_lines(clash).count() == 1 and mixing.mix(clash).count() == 1
     assert jaccard.keep_one(clash).columns == clash.columns

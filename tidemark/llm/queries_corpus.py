@@ -10,7 +10,7 @@ def op1_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = cotraining.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     fields = docs.select("doc_id", "text", "source", "lang", "n_chars")
-    return cotraining.score(fields, model).selectExpr("doc_id", "cotrain_score AS score", "cotrain_kept AS kept")
+    return cotraining.score(fields, model).selectExpr("doc_id", "cotrain_score AS score", "cotrain_kept AS kept", "cotrain_state AS state")
 
 
 def op2_top_k(spark, sf_dir):
