@@ -31,7 +31,9 @@ from .tokens import text_slices
 SLICE = 1 << 15
 
 TEXTS = "kind int, doc_id long, t1 long, t2 long, n_words long, seed long, pos int"
-SUFFIXES = "seed long, doc_id long, t1 long, pos int, n_words long, content binary, before binary"
+SUFFIXES = "seed long, doc_id long, t1 long, pos int, n_words long, content binary"
+#: Suffixes that leave a task that reads texts at once.
+ROWS = 4096
 
 
 @dataclass(frozen=True)
@@ -95,44 +97,71 @@ def _scan(docs: DataFrame, how: Passages) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, TEXTS)
 
 
+def _context_rows(h: np.ndarray, at: np.ndarray, how: Passages) -> np.ndarray:
+    """Of each position the words from it on, then (nearest first) those before it, in big-endian uint32; 0 beyond the text."""
+    words = np.concatenate([(h >> U64(32)).astype(">u4"), np.zeros(1, dtype=">u4")])
+    reach = np.concatenate([np.arange(how.min_words), -1 - np.arange(how.window)])
+    places = at[:, None] + reach
+    return words[np.where((places < 0) | (places > len(h)), len(h), places)]
+
+
 def _contexts(docs: DataFrame, places: DataFrame, how: Passages, broadcast_bytes: int) -> DataFrame:
-    """The contested suffixes with the word hashes behind and (nearest first) before them."""
+    """The contested suffixes with the word hashes behind and before them, in one column of fixed width.
+
+    They are written before they are sorted: the sort's samples then read no text, and texts, sorter
+    and comparison are never in one task.
+    """
     lists = cut(places.groupBy("doc_id", "t1").agg(F.sort_array(F.collect_list("pos")).alias("at")), "suffix-lists")
     chosen = docs.select("doc_id", "text").join(small(lists, broadcast_bytes), "doc_id")
+    width = 4 * (how.min_words + how.window)
 
     def run(batches):
         import pyarrow as pa
 
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
         names = [x.split()[0] for x in SUFFIXES.split(", ")]
-        pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+        def out(rows):
+            seed, doc, t1, pos, n, content = (np.concatenate(c) for c in zip(*rows))
+            ends = np.arange(len(seed) + 1, dtype=np.int32) * width
+            binary = pa.Array.from_buffers(pa.binary(), len(seed), [None, pa.py_buffer(ends), pa.py_buffer(content.tobytes())])
+            return pa.RecordBatch.from_arrays([pa.array(seed), pa.array(doc), pa.array(t1), pa.array(pos, pa.int32()), pa.array(n), binary], names=names)
+
         for batch in batches:
-            doc_ids, t1s, lists_, rows = *(batch.column(i).to_pylist() for i in (0, 2, 3)), []
+            doc_ids, t1s, lists_, rows, held = *(batch.column(i).to_pylist() for i in (0, 2, 3)), [], 0
             for i, h in column_hashes(batch.column(1)):
                 if int(_text_id((batch.column(1)[i].as_py() or "").encode())[0]) != t1s[i]:  # another row under the same doc_id
                     continue
                 seeds = window_hashes(h, how.seed).view(np.int64)
-                words = (h >> U64(32)).astype(">u4")
-                ahead, back = memoryview(words.tobytes()), memoryview(words[::-1].tobytes())
-                for pos in lists_[i]:
-                    begin = len(h) - pos
-                    rows.append((int(seeds[pos]), doc_ids[i], t1s[i], pos, len(h), ahead[4 * pos : 4 * (pos + how.min_words)], back[4 * begin : 4 * (begin + how.window)]))
-                    if len(rows) == 1024:
-                        yield pack(rows)
-                        rows = []
+                for lo in range(0, len(lists_[i]), ROWS):
+                    at = np.array(lists_[i][lo : lo + ROWS], dtype=np.int64)
+                    same = lambda v, m=len(at): np.full(m, v, dtype=np.int64)
+                    rows.append((seeds[at], same(doc_ids[i]), same(t1s[i]), at, same(len(h)), _context_rows(h, at, how)))
+                    held += len(at)
+                    if held >= ROWS:
+                        yield out(rows)
+                        rows, held = [], 0
             if rows:
-                yield pack(rows)
+                yield out(rows)
+
+    return cut(chosen.select("doc_id", "text", "t1", "at").mapInArrow(run, SUFFIXES), "suffix-contexts")
+
 
-    return chosen.select("doc_id", "text", "t1", "at").mapInArrow(run, SUFFIXES)
+def _words_of(table, how: Passages) -> tuple[np.ndarray, ...]:
+    """(words behind, their numbers, words before, their numbers) of a table's suffixes."""
+    width = how.min_words + how.window
+    flat = np.frombuffer(b"".join(b for chunk in table.column("content").chunks for b in [_data(chunk)]), dtype=">u4").reshape(-1, width)
+    pos, n = table.column("pos").to_numpy().astype(np.int64), table.column("n_words").to_numpy()
+    flat = flat.astype(np.uint32)
+    return flat[:, : how.min_words], np.minimum(n - pos, how.min_words), flat[:, how.min_words :], np.minimum(pos, how.window)
 
 
-def _matrix(column, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts as rows of ``width`` words (zeros behind the shorter ones), and their lengths."""
-    contexts = column.to_pylist()
-    lengths = np.fromiter(map(len, contexts), dtype=np.int64, count=len(contexts)) // 4
-    out = np.zeros((len(contexts), width), dtype=np.uint32)
-    out[np.arange(width) < lengths[:, None]] = np.frombuffer(b"".join(contexts), dtype=">u4")
-    return out, lengths
+def _data(chunk) -> memoryview:
+    """The bytes of a chunk of binaries, one behind the other."""
+    _, ends, data = chunk.buffers()
+    if not len(chunk):
+        return memoryview(b"")
+    ends = np.frombuffer(ends, dtype=np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+    return memoryview(data)[int(ends[0]) : int(ends[-1])]
 
 
 def _blocks(table, how: Passages):
@@ -143,8 +172,7 @@ def _blocks(table, how: Passages):
     is long enough, divided by the words before it.
     """
     seed = table.column("seed").to_numpy()
-    words, right = _matrix(table.column("content"), how.min_words)
-    back, left = _matrix(table.column("before"), how.window)
+    words, right, back, left = _words_of(table, how)
     differ = words[1:] != words[:-1]
     shared = np.where(differ.any(axis=1), differ.argmax(axis=1), how.min_words)
     shared = np.minimum(shared, np.minimum(right[1:], right[:-1]))
@@ -217,11 +245,12 @@ def _edge_passages(table, how: Passages):
     import xxhash
 
     seed, doc, t1, pos = (table.column(c).to_numpy() for c in ("seed", "doc_id", "t1", "pos"))
-    content, before = table.column("content"), table.column("before")
+    content, behind = table.column("content"), 4 * how.min_words
     for n, rows, first, _ in _blocks(table, how):
         for members in np.split(rows, first[1:]):
             at = int(members[0])
-            words = before[at].as_py()[: 4 * n] + content[at].as_py()[: 4 * (how.min_words - n)]
+            row = content[at].as_py()
+            words = row[behind : behind + 4 * n] + row[: behind - 4 * n]
             passage = xxhash.xxh3_128_digest(int(seed[at]).to_bytes(8, "little", signed=True) + bytes([n]) + words)
             lo, hi = int(doc[members].min()), int(doc[members].max())
             if lo < hi:
