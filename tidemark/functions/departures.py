@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import clauses as cl
 from . import cues as cu
 from . import text as tx
 
@@ -46,9 +47,9 @@ def _any(low: Column, wordings: list[str]) -> Column:
 
 
 def effective_day(text: Column, printed: Column) -> Column:
-    """The date behind 'effective' in its sentence, else the first date, else the day of printing."""
+    """The date behind 'effective' in its sentence, however long, else the first date, else the day of printing."""
     stated = cu.behind(cu.flat(text), "effective")
-    near = F.regexp_extract(stated, r"^[^.;]{0,140}", 0)
+    near = F.regexp_extract(stated, r"^[^.;]*", 0)
     return F.coalesce(tx.long_date(near), tx.long_date(cu.flat(text)), printed)
 
 
@@ -86,22 +87,6 @@ def transfer_to(text: Column) -> Column:
     return cu.leading_body(cu.behind(cu.flat(text), "appointed to", "transferred to"))
 
 
-def left_body(text: Column) -> Column:
-    """The committee that a letter gives up."""
-    flat = cu.flat(text)
-    return cu.leading_body(F.concat(F.lit("Committee on "), cu.behind(cu.behind(flat, "resign", "withdraw", "withdrew", "step", "relinquish"), "committee on ")))
-
-
-def replaced_member(text: Column) -> Column:
-    """X of 'vice X': whose seat an appointment fills, which ends it."""
-    return cu.leading_name(cu.behind(cu.flat(text), ", vice ", " vice "))
-
-
-def appointed_body(text: Column) -> Column:
-    flat = cu.flat(text)
-    return cu.leading_body(F.concat(F.lit("Committee on "), cu.behind(flat, "committee on ")))
-
-
 def departure_columns(text: Column, printed: Column) -> dict[str, Column]:
     """kind, member, from_body, to_body and effective of each item.
 
@@ -126,28 +111,29 @@ def with_events(df: DataFrame, text: str, printed: Column, to: str = "events") -
 
     A death, an exit and an election of the Speaker end every seat (scope 'chamber'); a
     transfer ends one seat (or, without a committee named, all but the new one) and begins
-    another; a departure ends one; an appointment in place of someone ends that one's.
-    Items without a member give no event; a transfer counts only with its new committee.
+    another; a departure ends those of all bodies it names; an appointment begins one for each of its
+    names and bodies, and ends those of the people it replaces. Items without a member give no event; a transfer counts only with its new committee.
     What several branches read is computed once, in columns that are dropped again.
     """
     raw, flat = F.col(text), F.col("ev_flat")
     fields = {
         "kind": kind(flat), "day": effective_day(flat, printed), "signed": F.coalesce(house_member(raw), transfer_member(raw)), "house": house_member(raw), "senate": senate_member(flat),
-        "speaker": speaker_member(flat), "dead": dead_member(flat), "moved": transfer_member(raw), "start": transfer_to(flat), "end": transfer_from(flat), "left": left_body(flat),
-        "replaced": replaced_member(flat), "seat": appointed_body(flat),
+        "speaker": speaker_member(flat), "dead": dead_member(flat), "moved": transfer_member(raw), "start": transfer_to(flat), "end": transfer_from(flat), "left": cl.left_bodies(flat),
+        "groups": cl.appointments(flat),
     }
     staged = df.withColumn("ev_flat", cu.flat(raw)).withColumns({f"ev_{name}": c for name, c in fields.items()})
     ev = {name: F.col(f"ev_{name}") for name in fields}
     none, chamber, committee = F.lit(None).cast("string"), F.lit("chamber"), F.lit("committee")
     one = lambda action, member, body, scope: F.struct(F.lit(action).alias("action"), member.alias("member"), body.alias("body"), ev["day"].alias("effective"), scope.alias("scope"))
+    seats = lambda action, people, g: F.flatten(F.transform(people, lambda p: F.transform(g["bodies"], lambda b: one(action, cl.bare_name(p), b, committee))))
     found = (
         F.when(ev["kind"] == "death", F.array(one("REMOVED", ev["dead"], none, chamber)))
         .when(ev["kind"] == "house resignation", F.array(one("REMOVED", ev["house"], none, chamber)))
         .when(ev["kind"] == "senate exit", F.array(one("REMOVED", ev["senate"], none, chamber)))
         .when(ev["kind"] == "speaker", F.array(one("REMOVED", ev["speaker"], none, chamber)))
         .when((ev["kind"] == "transfer") & ev["start"].isNotNull(), F.array(one("REMOVED", ev["moved"], ev["end"], F.when(ev["end"].isNull(), "all but new").otherwise("committee")), one("APPOINTED", ev["moved"], ev["start"], committee)))
-        .when(ev["kind"] == "committee departure", F.array(one("REMOVED", ev["signed"], ev["left"], committee)))
-        .when(ev["kind"] == "appointment", F.array(one("REMOVED", ev["replaced"], ev["seat"], committee)))
+        .when(ev["kind"] == "committee departure", F.transform(ev["left"], lambda b: one("REMOVED", ev["signed"], b, committee)))
+        .when(ev["kind"] == "appointment", F.flatten(F.transform(ev["groups"], lambda g: F.concat(seats("APPOINTED", g["names"], g), seats("REMOVED", g["replaced"], g)))))
     )
     whole = F.filter(found, lambda e: e["member"].isNotNull() & ((e["scope"] != "committee") | e["body"].isNotNull()))
     out = staged.withColumn(to, F.coalesce(whole, F.array().cast(EVENTS)))

@@ -93,7 +93,7 @@ def rank_intervals(spark, d):
 def text_events(spark, d):
     day = "date_format(date_add(DATE '2020-01-01', CAST(c_custkey % 700 AS INT)), 'MMMM d, yyyy')"
     text = f"""CASE c_custkey % 7
-        WHEN 0 THEN 'I resign from the Committee on Oars, effective on ' || {day} || '. Regards to all.\nRespectfully,\n' || c_name
+        WHEN 0 THEN 'I resign from the Committee on Oars and the Committee on Nets, effective on ' || {day} || '. Regards to all.\nRespectfully,\n' || c_name
         WHEN 1 THEN 'We mourn the death of the Honorable ' || c_name || ' of Ohio on ' || {day} || '.'
         WHEN 2 THEN 'The Chair appoints Mr. Low to the Committee on Sails, vice Mrs. ' || c_name || '.'
         WHEN 3 THEN 'The gentleman from Ohio (Mr. ' || c_name || ') is transferred to the Committee on Sails.'
@@ -177,8 +177,11 @@ SELECT 'm' || c_custkey AS membership, CAST(c_custkey AS VARCHAR) AS member, CAS
        greatest(day, DATE '2020-01-01' + CAST(c_custkey % 40 AS INTEGER)) AS valid_from, least(DATE '2020-04-01' + CAST(c_custkey % 50 AS INTEGER), CASE WHEN c_custkey % 5 = 0 THEN DATE '2020-03-01' ELSE DATE '2021-01-01' END) AS valid_to
 FROM o WHERE c_custkey % 11 > 0 AND greatest(day, DATE '2020-01-01' + CAST(c_custkey % 40 AS INTEGER)) < least(DATE '2020-04-01' + CAST(c_custkey % 50 AS INTEGER), CASE WHEN c_custkey % 5 = 0 THEN DATE '2020-03-01' ELSE DATE '2021-01-01' END)""",
     "text_events": f"""
-SELECT c_custkey, 0 AS pos, 'REMOVED' AS action, c_name AS member, CASE c_custkey % 7 WHEN 0 THEN 'Committee on Oars' WHEN 2 THEN 'Committee on Sails' END AS body,
-       CASE WHEN c_custkey % 7 < 2 THEN {_DAY_SQL} ELSE {_NONE} END AS effective, CASE WHEN c_custkey % 7 IN (1, 4) THEN 'chamber' WHEN c_custkey % 7 = 3 THEN 'all but new' ELSE 'committee' END AS scope FROM customer WHERE c_custkey % 7 < 5
+SELECT c_custkey, 0 AS pos, 'REMOVED' AS action, c_name AS member, CASE c_custkey % 7 WHEN 0 THEN 'Committee on Oars' END AS body,
+       CASE WHEN c_custkey % 7 < 2 THEN {_DAY_SQL} ELSE {_NONE} END AS effective, CASE WHEN c_custkey % 7 IN (1, 4) THEN 'chamber' WHEN c_custkey % 7 = 3 THEN 'all but new' ELSE 'committee' END AS scope FROM customer WHERE c_custkey % 7 IN (0, 1, 3, 4)
+UNION ALL SELECT c_custkey, 1, 'REMOVED', c_name, 'Committee on Nets', {_DAY_SQL}, 'committee' FROM customer WHERE c_custkey % 7 = 0
+UNION ALL SELECT c_custkey, 0, 'APPOINTED', 'Low', 'Committee on Sails', {_NONE}, 'committee' FROM customer WHERE c_custkey % 7 = 2
+UNION ALL SELECT c_custkey, 1, 'REMOVED', c_name, 'Committee on Sails', {_NONE}, 'committee' FROM customer WHERE c_custkey % 7 = 2
 UNION ALL SELECT c_custkey, 1, 'APPOINTED', c_name, 'Committee on Sails', {_NONE}, 'committee' FROM customer WHERE c_custkey % 7 = 3""",
     "get_or_create": "SELECT DISTINCT c_nationkey, c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN 'id-' || c_nationkey ELSE sha256(c_nationkey || '|' || c_mktsegment) END AS id, c_mktsegment <> 'BUILDING' AS created FROM customer",
 }
