@@ -249,10 +249,45 @@ def test_top_k_equals_brute_force(spark):
 def test_dual_tree_prunes():
     rng = np.random.default_rng(2)
     x = np.concatenate([rng.normal(size=(200, 6)) + 400 * np.eye(6)[j] for j in range(6)]).round()
-    tree = topk.DualTree(x, np.arange(1200), x, np.arange(1200), 3).run()
+    tree = topk.DualTree(x.astype(np.int64), np.arange(1200), 3).add(x.astype(np.int64), np.arange(1200))
     assert tree.compared < 1200 * 1200 / 4  # six far clusters: a sixth at best
 
 
+def test_dual_tree_prunes_over_blocks_in_many_dimensions():
+    """Kth scores of earlier blocks prune later ones; 64 dimensions, twenty clusters."""
+    rng = np.random.default_rng(8)
+    centres = 600 * rng.normal(size=(20, 64))
+    x = np.concatenate([c + rng.normal(size=(400, 64)) for c in centres]).round().astype(np.int64)
+    x = x[rng.permutation(len(x))]
+    tree = topk.DualTree(x[::50], np.arange(len(x))[::50], 5)
+    for lo in range(0, len(x), 2000):
+        tree.add(x[lo : lo + 2000], np.arange(lo, min(lo + 2000, len(x))))
+    assert tree.compared < len(x) * len(x[::50]) / 3
+    whole = x[::50] @ x.T
+    for i, row in enumerate(whole):
+        best = [j for j in np.lexsort((np.arange(len(x)), -row)) if j != 50 * i][:5]
+        assert tree.best_id[i].tolist() == best and tree.best[i].tolist() == row[best].tolist()
+
+
+@pytest.mark.parametrize("power", [20, 28, 31, 70])
+def test_scores_are_exact_integers(spark, power):
+    """Products beyond 2^53 and 2^62 against Python's integers; beyond a long they count as its ends."""
+    rng = random.Random(power)
+    rows = [(i, [float(rng.randrange(-(2 ** min(power, 52)), 2 ** min(power, 52)) * 2 ** max(0, power - 52)) for _ in range(rng.choice([3, 3, 2]))]) for i in range(120)]
+    rows += [(50, [1.0]), (7, None), (8, [None, 1.0]), (9, []), (None, [1.0])]
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=10, chunk_queries=4, block_rows=16).collect()}
+    data = [(i, [256 * int(v) for v in e]) for i, e in rows if i is not None and e is not None and None not in e]
+    queries = {}
+    for i, e in rows:
+        if i is not None and i % 10 == 0 and e is not None:
+            queries[i] = min(queries.get(i, e), e)
+    clip = lambda s: max(min(s, 2**63 - 1), -(2**63) + 1)
+    for q, e in queries.items():
+        scores = sorted((-clip(sum(256 * int(a) * b for a, b in zip(e, d))), i) for i, d in data if i != q)[:5]
+        assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in scores]
+    assert len(got) == 5 * len(queries)
+
+
 def test_rules_stop_at_the_first(docs):
     calls = []
     rules = {"never": lambda p: calls.append("never") and False, "always": lambda p: True}
