@@ -79,6 +79,24 @@ def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if table_bytes(df) <= max_bytes else df
 
 
+def trimmed(run):
+    """``run`` for ``mapInArrow``, giving its memory back at the end: workers live on between stages."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        import ctypes
+
+        import pyarrow as pa
+
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not this C library
+            pass
+
+    return wrapped
+
+
 def free_names(df: DataFrame, n: int) -> list[str]:
     """``n`` names that no column of ``df`` has, in any case."""
     taken, prefix = {c.lower() for c in df.columns}, "field_"

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_names
+from .common import cut, free_names, trimmed
 from .features import SHAPE, shape, trigram_counts
 
 GRAMS, META = 1024, 64
@@ -278,7 +278,7 @@ def stored_features(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], x], names=[*part.schema.names[:4], "x"])
 
     fields = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.col("n_chars").cast("long").alias("n_chars"), "text")
-    return cut(fields.mapInArrow(run, FEATURES), "quality-features")
+    return cut(fields.mapInArrow(trimmed(run), FEATURES), "quality-features")
 
 
 def _handed(pool: DataFrame, views: list[View], taken: list[set[int]], most: list[int], sure: float) -> list[tuple]:
@@ -308,7 +308,7 @@ def _handed(pool: DataFrame, views: list[View], taken: list[set[int]], most: lis
                 cols = [[giver] * len(rows), [label] * len(rows), list(rows), *zip(*rows.values())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)], names=names)
 
-    found = cut(pool.select("source", "lang", "n_chars", "x").mapInArrow(run, kinds), "surest")
+    found = cut(pool.select("source", "lang", "n_chars", "x").mapInArrow(trimmed(run), kinds), "surest")
     out = []
     for giver in (0, 1):
         for label in (0, 1):
@@ -372,4 +372,4 @@ def score(docs: DataFrame, model: CoTrained, threshold: float = 0.5) -> DataFram
                 state = pa.array([model.state] * len(p))
                 yield pa.RecordBatch.from_arrays([*part.columns[4:], pa.array(p), pa.array(p >= threshold), state], names=[*part.schema.names[4:], *new])
 
-    return fields.mapInArrow(run, schema)
+    return fields.mapInArrow(trimmed(run), schema)

@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import trimmed
 from .features import trigram_counts
 
 DIMS = 4096
@@ -89,7 +90,7 @@ def fit(train: DataFrame, sample: int = 1000, per_lang: int = 4, reject_share: f
         if n:
             yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(DIMS), -1)), pa.array(np.append(total, n))], names=["bucket", "n"])
 
-    rows = train.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    rows = train.select("text").mapInArrow(trimmed(frequencies), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     df, n = np.zeros(DIMS), 0
     for bucket, count in rows:
         if bucket < 0:
@@ -118,7 +119,7 @@ def fit(train: DataFrame, sample: int = 1000, per_lang: int = 4, reject_share: f
 
     # whole texts are counted where they lie; the driver gets 4 * DIMS bytes for each sampled row
     chosen = likely.join(F.broadcast(ids), ["lang", "h", "doc_id"]).select("doc_id", "lang", "text")  # at most ``sample`` rows a language
-    picked = chosen.mapInArrow(sampled, "doc_id long, lang string, counts binary").distinct().orderBy("lang", "doc_id", "counts").collect()
+    picked = chosen.mapInArrow(trimmed(sampled), "doc_id long, lang string, counts binary").distinct().orderBy("lang", "doc_id", "counts").collect()
     by_lang: dict[str, list[np.ndarray]] = {}
     for _, lang, counts in picked:
         by_lang.setdefault(lang, []).append(np.frombuffer(counts, dtype="<u4"))
@@ -156,4 +157,4 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 cols = [part.column(0).to_pylist(), *zip(*model.predict(part.column(1).to_pylist()))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "lang_pred", "score", "rejected"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, PREDICTED)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), PREDICTED)

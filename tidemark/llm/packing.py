@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, trimmed
 from .tokens import default_tokenizer, encoded_batches
 
 #: Reciprocals: class j holds pieces of at most capacity // j ids, j to a sequence.
@@ -95,7 +95,7 @@ def pack(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, en
         if rows:
             yield flush()
 
-    pieces = cut(docs.select("doc_id", "text").mapInArrow(fill, PIECES), "pieces")
+    pieces = cut(docs.select("doc_id", "text").mapInArrow(trimmed(fill), PIECES), "pieces")
     result = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "class"]
     full = pieces.filter("bin IS NOT NULL").withColumn("sequence_id", F.shiftleft("worker", 32) + F.col("bin"))
     left = pieces.filter("bin IS NULL").withColumn("share", F.shiftright("worker", WORKERS_BITS))

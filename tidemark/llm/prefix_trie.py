@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, cut, small
+from .common import BROADCAST_BYTES, cut, small, trimmed
 
 #: Bytes of decimal conv_ids that are joined before they meet in one hash.
 CHUNK = 1 << 16
@@ -216,8 +216,8 @@ def end_digests(ends: DataFrame) -> DataFrame:
     """
     key = ["node_id", "depth", "conv_id"]
     n = int(ends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = ends.select(*key).repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(_id_chunks, "node_id long, depth long, conv_id long, ids binary")
-    return chunks.repartition(n, "node_id", "depth").sortWithinPartitions(*key).mapInArrow(_digests, "node_id long, depth long, digest string")
+    chunks = ends.select(*key).repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(trimmed(_id_chunks), "node_id long, depth long, conv_id long, ids binary")
+    return chunks.repartition(n, "node_id", "depth").sortWithinPartitions(*key).mapInArrow(trimmed(_digests), "node_id long, depth long, digest string")
 
 
 def prefix_trie(conversations: DataFrame, family: int = 5, most: int = 9, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -18,7 +18,7 @@ from operator import eq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE
+from .common import WHITE, trimmed
 
 SYMBOLS = "#*$%&|<>"
 
@@ -134,4 +134,4 @@ def judge(docs: DataFrame, sample: int = 256) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     # which of several rejecting rules is named depends on the order, so on the sample
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, {VERDICT}")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id long, {VERDICT}")

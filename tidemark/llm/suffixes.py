@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, cut, small
+from .common import BROADCAST_BYTES, cut, small, trimmed
 from .sets import STEP, U64, column_hashes, mixed, window_hashes, word_hashes
 from .tokens import text_slices
 
@@ -94,7 +94,7 @@ def _scan(docs: DataFrame, how: Passages) -> DataFrame:
                     cols = (np.ones(len(pos), int), doc[text], ids[text, 0], ids[text, 1], n_words[text], seeds[at[text] + pos], pos)
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, TEXTS)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), TEXTS)
 
 
 def _context_rows(h: np.ndarray, at: np.ndarray, how: Passages) -> np.ndarray:
@@ -143,7 +143,7 @@ def _contexts(docs: DataFrame, places: DataFrame, how: Passages, broadcast_bytes
             if rows:
                 yield out(rows)
 
-    return cut(chosen.select("doc_id", "text", "t1", "at").mapInArrow(run, SUFFIXES), "suffix-contexts")
+    return cut(chosen.select("doc_id", "text", "t1", "at").mapInArrow(trimmed(run), SUFFIXES), "suffix-contexts")
 
 
 def _words_of(table, how: Passages) -> tuple[np.ndarray, ...]:
@@ -234,7 +234,7 @@ def _compare(suffixes: DataFrame, n_suffixes: int, how: Passages, per_task: int
 
     n = max(1, int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_suffixes // per_task))
     ordered = suffixes.repartitionByRange(n, "seed", "content", "doc_id", "pos").sortWithinPartitions("seed", "content", "doc_id", "pos")
-    return ordered.mapInArrow(run, SPANS)
+    return ordered.mapInArrow(trimmed(run), SPANS)
 
 
 def _edge_passages(table, how: Passages):

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, scratch_path
+from .common import cut, scratch_path, trimmed
 from .tokens import default_tokenizer, encoded_batches
 
 #: Fixed values of the zstandard seekable format.
@@ -175,17 +175,17 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
 
     tie = F.xxhash64("text")
     ranged = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie, "text")
-    return ranged.mapInArrow(write, "part long, path string, n_docs long, n_ids long")
+    return ranged.mapInArrow(trimmed(write), "part long, path string, n_docs long, n_ids long")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """Read files back: doc_id, start (ids of all documents before), n_tokens, ids (bytes)."""
-    return _with_base(manifest).mapInArrow(_reader(lambda ids: ids), "doc_id long, start long, n_tokens long, ids binary")
+    return _with_base(manifest).mapInArrow(trimmed(_reader(lambda ids: ids)), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def token_digests(manifest: DataFrame) -> DataFrame:
     """As read_token_files, with the unsigned crc32 of the ids for the ids themselves."""
-    return _with_base(manifest).mapInArrow(_reader(zlib.crc32), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _with_base(manifest).mapInArrow(trimmed(_reader(zlib.crc32)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _with_base(manifest: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, trimmed
 
 #: Most children of a node.
 FAN = 16
@@ -209,7 +209,7 @@ def _found(rows: DataFrame, queries: np.ndarray, query_ids: np.ndarray, dims: in
             cut_ = slice(at, at + 8192)
             yield pa.RecordBatch.from_arrays([pa.array(qid[i[cut_]]), pa.array(search.best_id[i[cut_], j[cut_]]), pa.array(search.best[i[cut_], j[cut_]])], names=["query_id", "vec_id", "score"])
 
-    return rows.select("vec_id", "embedding").mapInArrow(run, "query_id long, vec_id long, score long")
+    return rows.select("vec_id", "embedding").mapInArrow(trimmed(run), "query_id long, vec_id long, score long")
 
 
 def top_k(embeddings: DataFrame, k: int = 5, every: int = 50, block_rows: int = 8192, chunk_queries: int = 65536) -> DataFrame:

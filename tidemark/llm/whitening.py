@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_names
+from .common import cut, free_names, trimmed
 
 #: An entry c becomes floor(SCALE * c) + SHIFT.
 SCALE, SHIFT = 64, 1_000_000
@@ -88,7 +88,7 @@ def _summed(fit: DataFrame, dims: int, width: int, kind: str, of, depth: int) ->
                 total += of(matrix(batch.column(0), dims)).ravel()
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    return _tree_sum(fit.select("x").mapInArrow(run, "sums binary"), width, kind, depth)
+    return _tree_sum(fit.select("x").mapInArrow(trimmed(run), "sums binary"), width, kind, depth)
 
 
 def moments(fit: DataFrame, dims: int, depth: int = 2) -> Moments:
@@ -173,4 +173,4 @@ def whiten(embeddings: DataFrame, most: int = 16, depth: int = 2) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in part.columns[1:]), *map(pa.array, new)], names=schema.names)
 
     (first,) = free_names(embeddings, 1)
-    return rows.select(steps("embedding").alias(first), *kept).mapInArrow(run, schema)
+    return rows.select(steps("embedding").alias(first), *kept).mapInArrow(trimmed(run), schema)
