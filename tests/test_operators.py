@@ -3,11 +3,9 @@
 import datetime as dt
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import text as tx
 from tidemark.operators import islands, ledger, ranking, replay, scoring
 
 D = dt.date
@@ -109,10 +107,6 @@ def test_sole_value_with_null_groups(spark):
     assert got == {1: "x", 2: "x", 3: "y", 4: "z", 5: None, 6: None}
 
 
-def test_names_fold_accents():
-    assert tx.fold_name(pd.Series(["García  O'Neill", "Yıldız", None])).tolist() == ["garcia o neill", "yildiz", None]
-
-
 def test_merge_adjacent_needs_equal_attributes(spark):
     rows = [("a", 1, D(2020, 1, 1), D(2020, 2, 1)), ("a", 1, D(2020, 2, 1), D(2020, 3, 1)), ("a", 2, D(2020, 3, 1), D(2020, 4, 1))]
     df = spark.createDataFrame(rows, "k string, rank int, valid_from date, valid_to date")

@@ -17,6 +17,10 @@ TITLES = ["Mr.", "Mrs.", "Ms.", "Miss", "Dr.", "Senator", "Representative", "Con
 _TITLE = "(?:(?:" + "|".join(t.replace(".", r"\.") for t in TITLES) + ") )*"
 
 
+#: A name's further words: joined by commas and small words, but no title and no other body.
+_NEXT = r"(?:,? (?:(?:and|of|the|on|for) )*(?!Committee\b|Subcommittee\b|(?:" + "|".join(t.replace(".", r"\.") for t in TITLES) + r")(?: |$))" + _WORD + ")"
+
+
 def flat(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
 
@@ -58,6 +62,20 @@ def leading_body(text: Column) -> Column:
     return F.when(F.length(name) > 0, F.concat(F.lit("Committee on "), name))
 
 
+def bodies_behind(text: Column) -> Column:
+    """The name behind every 'Committee on' and 'Committee of' of a text, without 'the' and closing stops.
+
+    A name with a capital ends with its form, one in small letters at the next stop or dash.
+    """
+    parts = F.split(flat(text), r"(?i)\bcommittees? (?:on|of) (?:the )?", -1)
+
+    def name(part):
+        formed = F.regexp_extract(part, rf"^{_WORD}{_NEXT}*", 0)
+        return F.rtrim(F.when(formed != "", formed).otherwise(F.substring_index(F.regexp_replace(part, r" -|[.;:\u2014]", "\n"), "\n", 1)), F.lit(" .,;"))
+
+    return F.filter(F.transform(F.slice(parts, F.lit(2), F.size(parts)), name), lambda x: x != "")
+
+
 def signature(text: Column) -> Column:
     """The name on the first line behind a closing ('Sincerely,' and the like)."""
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x))

@@ -12,7 +12,7 @@ def compact_key(name: Column) -> Column:
 
 
 def name_key(name: Column) -> Column:
-    """Lower-case letters, other runs as one space (for ASCII names; see fold_name)."""
+    """Lower-case letters, other runs as one space (for ASCII names; people.person_key folds accents)."""
     return F.trim(F.regexp_replace(F.lower(name), "[^a-z]+", " "))
 
 
@@ -21,11 +21,6 @@ def body_key(name: Column) -> Column:
     return compact_key(F.regexp_replace(F.lower(F.trim(name)), r"^(?:the\s+)?(?:standing\s+|select\s+|special\s+)?(?:sub)?committee\s+(?:on|for)\s+(?:the\s+)?", ""))
 
 
-def strip_suffix(name: Column) -> Column:
-    """Without a generational or professional suffix."""
-    return F.regexp_replace(F.trim(name), r"(?i)[\s,]+(?:jr|sr|ii|iii|iv|md|phd)\.?$", "")
-
-
 def split_members(text: Column) -> Column:
     """Names of a list with commas, semicolons and 'and', trimmed, empty ones left out."""
     parts = F.split(text, r"\s*(?:;|,|\band\b)\s*", -1)
@@ -53,17 +48,3 @@ def long_date(text: Column) -> Column:
     pattern = r"((?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2})(?:st|nd|rd|th)?,\s+(\d{4})"
     found = F.concat_ws(", ", F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2))
     return F.when(text.rlike(pattern), F.try_to_date(found, "MMMM d, yyyy"))
-
-
-def fold_name(names):
-    """A pandas Series of names without accents, in lower-case letters and single spaces."""
-    import re
-    import unicodedata
-
-    def one(name):
-        if name is None:
-            return None
-        bare = "".join(c for c in unicodedata.normalize("NFD", name.replace("ı", "i")) if unicodedata.category(c) != "Mn")
-        return re.sub(r"[^a-z]+", " ", bare.lower()).strip()
-
-    return names.map(one)

@@ -13,7 +13,8 @@ _SEG = "substring(c_mktsegment, 1, 1) || lower(substring(c_mktsegment, 2))"
 
 
 def person_names(spark, d):
-    raw = f"CASE c_custkey % 5 WHEN 0 THEN 'Mr. José ' || {_SEG} WHEN 1 THEN 'Ms. ' || {_SEG} || ' of New York' WHEN 2 THEN {_SEG} || ', Jr.' WHEN 3 THEN 'Señora  ' || {_SEG} || ' Ph.D.' END"
+    raw = f"""CASE c_custkey % 9 WHEN 0 THEN 'Mr. José ' || {_SEG} WHEN 1 THEN 'Ms. ' || {_SEG} || ' of New York' WHEN 2 THEN {_SEG} || ', Jr.' WHEN 3 THEN 'Señora  ' || {_SEG} || ' Ph.D.'
+        WHEN 4 THEN 'Mrs.' || {_SEG} || ' of District of Columbia' WHEN 5 THEN 'the Honorable ' || {_SEG} || ',M.D.' WHEN 6 THEN 'Senator O-' || {_SEG} || ' IV of Nowhere of Ohio' WHEN 7 THEN 'the gentlewoman from ' || {_SEG} || ' , ' END"""
     c = table(spark, d, "customer").selectExpr("c_custkey", f"{raw} AS raw")
     name, state = pp.name_and_state(pp.without_suffix(pp.without_title(F.col("raw"))))
     return c.select("c_custkey", pp.person_key(name).alias("name"), state.alias("state"), pp.gender_of_title(F.col("raw")).alias("gender"))
@@ -141,8 +142,9 @@ f{tag} AS (SELECT id, count(*) AS n, min(member) AS member FROM c{tag} WHERE g O
 
 SQL = {
     "person_names": f"""
-SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'jose ' || lower(c_mktsegment) WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN lower(c_mktsegment) WHEN 3 THEN strip_accents('señora ') || lower(c_mktsegment) END AS name,
-       CASE WHEN c_custkey % 5 = 1 THEN 'NY' END AS state, CASE c_custkey % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'F' END AS gender FROM customer""",
+WITH p AS (SELECT c_custkey, c_custkey % 9 AS k, lower(c_mktsegment) AS n FROM customer)
+SELECT c_custkey, CASE WHEN k = 0 THEN 'jose ' || n WHEN k = 3 THEN 'senora ' || n WHEN k = 6 THEN 'o' || n || ' iv' WHEN k < 8 THEN n END AS name,
+       CASE k WHEN 1 THEN 'NY' WHEN 4 THEN 'DC' END AS state, CASE k WHEN 0 THEN 'M' WHEN 1 THEN 'F' WHEN 4 THEN 'F' END AS gender FROM p""",
     "given_names": """
 WITH p AS (SELECT c_custkey, ['jim', 'james', 'bob', 'robert', 'tony', 'anne', 'will', 'bill'] AS g, ['james', 'james', 'robert', 'robert', 'anthony', 'anne', 'william', 'william'] AS f, c_custkey % 8 + 1 AS i, (c_custkey // 8) % 8 + 1 AS j FROM customer)
 SELECT c_custkey, f[i] = f[j] AS same, (f[i] = f[j] OR contains(g[i], g[j]) OR contains(g[j], g[i])) AS meet FROM p""",

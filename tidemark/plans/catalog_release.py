@@ -134,23 +134,44 @@ def manifest_rows(spark, d):
     return mf.manifest(found, specs)
 
 
-_MEMBERS = ["Mr. Poe of New York", "Ms. Low", "Mr. Speaker", "Poe", "Mrs. Ash-Elm", ""]
-_BODIES = ["Committee on Oars", "Oars", "Committee on H.R. 7", "the resolution of the Committee"]
+#: Forms of members and bodies, {n} being a customer's own surname, with the verdict on each.
+MEMBER_FORMS = [
+    ("Mr. {n} of New York", None), ("Ms. {n}", None), ("mrs. {n}-Elm of Ohio", None), ("Ms. O'{n}", None),
+    ("Mr. Speaker", "member_stopword"), ("Mr. Clerk, {n}", "member_stopword"), ("{n}", "member_regex_fail"), ("Mr. {n} 12", "member_regex_fail"),
+    ("Mr. {n} of", "member_regex_fail"), ("Miss {n}", "member_regex_fail"), ("", "member_regex_fail"), ("Mr. J. {n}", "member_regex_fail"),
+]
+BODY_FORMS = [
+    ("Committee on {n}", None), ("the Committee on the Resolution Trust and {n}", None), ("Permanent Select Committee on {n}", None), ("COMMITTEE ON BILLINGS AND ORDERS OF {n}", None),
+    ("{n} Committee", "committee_no_required_phrase"), ("{n}", "committee_no_required_phrase"), ("", "committee_no_required_phrase"),
+    ("Committee on {n}, AYES 12", "committee_has_bill_tokens"), ("Committee on {n} S. 12", "committee_has_bill_tokens"), ("A bill of the Committee on {n}", "committee_has_bill_tokens"),
+    ("Committee on {n} rule 10", "committee_has_bill_tokens"), ("Committee on H.R. 7 {n}", "committee_has_bill_tokens"), ("Committee on {n} and so on until the name is longer than any name of a body of this kind could be, whatever may stand there, or not", "committee_too_long"),
+]
+_SURNAME = "concat(upper(substring(c_mktsegment, 1, 1)), lower(substring(c_mktsegment, 2, {})))"
 
 
 def page_gates(spark, d):
-    pick_ = lambda items, by: F.get(F.array(*map(F.lit, items)), by.cast("int"))
-    body, member = pick_(_BODIES, F.col("c_custkey") % 4), pick_(_MEMBERS, F.floor(F.col("c_custkey") / 4) % 6)
-    return table(spark, d, "customer").select("c_custkey", pg.gate(body, member).alias("reason"))
+    pick_ = lambda forms, by: F.get(F.array(*(F.lit(f) for f, _ in forms)), (by % len(forms)).cast("int"))
+    c = table(spark, d, "customer").withColumn("n", F.expr(_SURNAME.format("3 + CAST(c_nationkey % 5 AS INT)")))
+    body, member = (F.replace(pick_(forms, by), F.lit("{n}"), F.col("n")) for forms, by in ((BODY_FORMS, F.col("c_custkey")), (MEMBER_FORMS, F.floor(F.col("c_custkey") / len(BODY_FORMS)))))
+    senate = F.concat(body, F.when(F.col("c_nationkey") % 2 == 0, " H. R. 5").otherwise(""))
+    return c.select("c_custkey", pg.gate(body, member).alias("reason"), pg.gate(senate, F.lit("Ms. Low"), chamber="S").alias("senate_reason"))
+
+
+#: Scanned wordings and what they are when mended.
+SCANNED = [
+    ("Mr.McConnell met Ms.{n}", "Mr. McConnell met Ms. {n}"), ("Mr. {n}of Oregon,Mr. DeFazioof Ohio", "Mr. {n} of Oregon, Mr. DeFazio of Ohio"), ("Mr. MIL- LER and the com-\nmittee of {n}", "Mr. MILLER and the committee of {n}"),
+    ("{n}andAshElm", "{n} and AshElm"), ("COMMITTEEELECTION of {n}", "COMMITTEE ELECTION of {n}"), ("PERMANENTSELECTCOMMITTEEON{n}", "PERMANENT SELECT COMMITTEE ON {n}"), ("a  well-known {n},\nand sand of the land", "a well-known {n}, and sand of the land"),
+]
 
 
 def page_texts(spark, d):
     day = F.expr("date_add(DATE '2020-01-01', CAST(c_custkey % 700 AS INT))")
     text = F.concat(F.expr("CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey AS STRING) || '\n' ELSE '' END"), F.lit("THE JOURNAL of "), F.when(F.col("c_custkey") % 2 == 0, F.date_format(day, "MMMM d, yyyy")).otherwise(F.date_format(day, "MMMM d")), F.lit(".\r\nMr.Poe,MrsLow S. Res. 12, on Fog\rend"))
     clean = pg.clean(text)
+    scanned = F.replace(F.get(F.array(*(F.lit(s) for s, _ in SCANNED)), (F.col("c_custkey") % len(SCANNED)).cast("int")), F.lit("{n}"), F.expr(_SURNAME.format("6")))
     return table(spark, d, "customer").select(
         "c_custkey", pg.page_day(clean, F.lit(2021)).alias("day"), pg.printed_page(clean).alias("page"), F.length(clean).alias("n"), pg.span_from(clean, r"S\. Res\. \d+", 11, 7).alias("span"),
-        pg.apart(F.concat(F.lit("Mr.Poe,Ms.LowandAshElm "), "c_name")).alias("spaced"), pg.not_before(F.lit("2020-06-01").cast("date"), F.when(F.col("c_custkey") % 5 > 0, day)).alias("effective"),
+        pg.apart(scanned).alias("spaced"), pg.not_before(F.lit("2020-06-01").cast("date"), F.when(F.col("c_custkey") % 5 > 0, day)).alias("effective"),
     )
 
 
@@ -208,6 +229,8 @@ r AS (SELECT congress, day, chamber, scope, code, member, min(body) AS body FROM
 _ASSIGNED = "coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + 30 END, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate + 60 END, DATE '1999-01-03')"
 _NAMES_SQL = "[" + ", ".join(f"'{n.lower()}'" for n in _NAMES) + "]"
 _TITLES_SQL = "[" + ", ".join("NULL" if t is None else "'" + t.replace("'", "''") + "'" for t in _TITLES) + "]"
+_reasons = lambda forms: "[" + ", ".join("NULL" if r is None else f"'{r}'" for _, r in forms) + "]"
+_mended = "[" + ", ".join("'" + m.replace("'", "''") + "'" for _, m in SCANNED) + "]"
 SQL = {
     "directory_cells": _SIDES + """,
 a AS (SELECT congress, day, chamber, scope, count(*) AS entries, count(*) FILTER (code IS NOT NULL AND member IS NULL) AS unresolved_entries, count(*) FILTER (code IS NULL) AS unmapped_entries, count(DISTINCT body) FILTER (code IS NULL) AS unmapped_bodies FROM e GROUP BY ALL),
@@ -267,14 +290,15 @@ SELECT o_orderkey, package, CASE WHEN hit OR (g IS NOT NULL AND bool_or(hit) OVE
     "source_categories": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'required' ELSE MAP {'1': 'required', '2': 'optional', '3': 'optional', '5': 'validation_only'}[substr(o_orderpriority, 1, 1)] END AS category FROM orders",
     "retrieval_state": "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'MISSING' WHEN o_orderkey % 5 > 0 AND o_orderkey % 11 = 0 THEN 'HASH_MISMATCH' WHEN o_orderkey % 13 = 0 THEN 'SIZE_MISMATCH' ELSE 'RETRIEVED' END AS status FROM orders",
     "manifest_rows": "SELECT o_orderpriority AS collection, 'p' || o_custkey AS package, 'g' || o_orderkey % 3 AS granule, max(o_orderdate) AS modified, 'LISTED' AS status, CAST(NULL AS VARCHAR) AS error FROM orders GROUP BY ALL UNION ALL SELECT '9-NONE', NULL, NULL, NULL, 'FAILED', 'no source was listed'",
-    "page_gates": """
-SELECT c_custkey, CASE c_custkey % 4 WHEN 1 THEN 'committee_no_required_phrase' WHEN 2 THEN 'committee_has_bill_tokens' WHEN 3 THEN 'committee_has_bill_tokens'
-  ELSE [NULL, NULL, 'member_stopword', 'member_regex_fail', NULL, 'member_regex_fail'][(c_custkey // 4) % 6 + 1] END AS reason FROM customer""",
-    "page_texts": """
-WITH p AS (SELECT c_custkey, c_name, DATE '2020-01-01' + CAST(c_custkey % 700 AS INTEGER) AS d, CASE WHEN c_custkey % 3 = 0 THEN c_custkey || chr(10) ELSE '' END AS head FROM customer),
+    "page_gates": f"""
+WITH g AS (SELECT c_custkey, c_nationkey, {_reasons(BODY_FORMS)}[c_custkey % {len(BODY_FORMS)} + 1] AS b, {_reasons(MEMBER_FORMS)}[(c_custkey // {len(BODY_FORMS)}) % {len(MEMBER_FORMS)} + 1] AS m FROM customer)
+SELECT c_custkey, coalesce(b, m) AS reason,
+       CASE WHEN b IN ('committee_too_long', 'committee_no_required_phrase') THEN b WHEN c_nationkey % 2 = 0 OR c_custkey % {len(BODY_FORMS)} IN (8, 9, 11) THEN 'committee_has_bill_tokens' END AS senate_reason FROM g""",
+    "page_texts": f"""
+WITH p AS (SELECT c_custkey, c_mktsegment, DATE '2020-01-01' + CAST(c_custkey % 700 AS INTEGER) AS d, CASE WHEN c_custkey % 3 = 0 THEN c_custkey || chr(10) ELSE '' END AS head FROM customer),
 t AS (SELECT *, head || 'THE JOURNAL of ' || CASE WHEN c_custkey % 2 = 0 THEN strftime(d, '%B %-d, %Y') ELSE strftime(d, '%B %-d') END || '.' || chr(10) || 'Mr.Poe,MrsLow S. Res. 12, on Fog' || chr(10) || 'end' AS t FROM p)
 SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN d WHEN month(d) <> 2 OR day(d) <> 29 THEN make_date(2021, month(d), day(d)) END AS day, CAST(CASE WHEN c_custkey % 3 = 0 THEN c_custkey END AS INTEGER) AS page, CAST(length(t) AS INTEGER) AS n,
-       'S. Res. 12,' AS span, 'Mr. Poe, Ms. Lowand Ash Elm ' || c_name AS spaced, greatest(DATE '2020-06-01', CASE WHEN c_custkey % 5 > 0 THEN d ELSE DATE '2020-06-01' END) AS effective FROM t""",
+       'S. Res. 12,' AS span, replace({_mended}[c_custkey % {len(SCANNED)} + 1], '{{n}}', upper(c_mktsegment[1]) || lower(c_mktsegment[2:7])) AS spaced, greatest(DATE '2020-06-01', CASE WHEN c_custkey % 5 > 0 THEN d ELSE DATE '2020-06-01' END) AS effective FROM t""",
     "roster_signals": "SELECT c_custkey, c_custkey % 5 < 2 AS roster, c_custkey % 5 < 2 AS one_side FROM customer",
     "newest_copy": "SELECT o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 4 END AS district, o_orderdate, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 4 END, -1) ORDER BY o_orderdate DESC, o_orderkey DESC) = 1",
     "preferred_copy": "SELECT o_custkey, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 3 = 0 END DESC NULLS LAST, o_orderkey) = 1",

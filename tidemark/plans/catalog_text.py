@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import people as pp
 from ..functions import text as tx
 from ..sources.tables import table
 
@@ -17,7 +18,7 @@ def normalize_keys(spark, d):
 
 def strip_suffix(spark, d):
     suffix = F.element_at(F.array(*map(F.lit, (", Jr.", " III", " Sr", ""))), (F.col("c_custkey") % 4 + 1).cast("int"))
-    return table(spark, d, "customer").select("c_custkey", tx.strip_suffix(F.concat("c_name", suffix)).alias("bare"))
+    return table(spark, d, "customer").select("c_custkey", pp.without_suffix(F.concat("c_name", suffix)).alias("bare"))
 
 
 def split_members(spark, d):
