@@ -18,7 +18,7 @@ import numpy as np
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
 #: Bytes of text whose pieces are told apart at once; one longer text is taken whole.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def _among(chars: bytes) -> np.ndarray:
@@ -86,7 +86,7 @@ def _byte_letters() -> dict[int, str]:
 class PieceEncoder:
     """Ids of whole columns of texts; at most about ``max_cached`` pieces stay known."""
 
-    def __init__(self, path: str, max_cached: int = 400_000, end_id: int = 0):
+    def __init__(self, path: str, max_cached: int = 200_000, end_id: int = 0):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
