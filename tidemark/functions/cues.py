@@ -21,6 +21,10 @@ _TITLE = "(?:(?:" + "|".join(t.replace(".", r"\.") for t in TITLES) + ") )*"
 _NEXT = r"(?:,? (?:(?:and|of|the|on|for) )*(?!Committee\b|Subcommittee\b|(?:" + "|".join(t.replace(".", r"\.") for t in TITLES) + r")(?: |$))" + _WORD + ")"
 
 
+#: A whole name by its form.
+CAPITALS = f"{_WORD}{_NEXT}*"
+
+
 def flat(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
 
@@ -70,7 +74,7 @@ def bodies_behind(text: Column) -> Column:
     parts = F.split(flat(text), r"(?i)\bcommittees? (?:on|of) (?:the )?", -1)
 
     def name(part):
-        formed = F.regexp_extract(part, rf"^{_WORD}{_NEXT}*", 0)
+        formed = F.regexp_extract(part, rf"^{CAPITALS}", 0)
         return F.rtrim(F.when(formed != "", formed).otherwise(F.substring_index(F.regexp_replace(part, r" -|[.;:\u2014]", "\n"), "\n", 1)), F.lit(" .,;"))
 
     return F.filter(F.transform(F.slice(parts, F.lit(2), F.size(parts)), name), lambda x: x != "")
