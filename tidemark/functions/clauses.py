@@ -38,7 +38,7 @@ def _none() -> Column:
     return F.array().cast("array<string>")
 
 
-def _let(value: Column, use) -> Column:
+def once(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -128,7 +128,7 @@ def _act(s: Column, w: Column) -> Column:
 
 def _step(s: Column, w: Column) -> Column:
     """One word: its act, then the end of the sentence if it stands there."""
-    return _let(_act(s, w), lambda act: _let(_moved(s, w, act), lambda n: F.when(w["stop"], _ended(n)).otherwise(n)))
+    return once(_act(s, w), lambda act: once(_moved(s, w, act), lambda n: F.when(w["stop"], _ended(n)).otherwise(n)))
 
 
 def _moved(s: Column, w: Column, act: Column) -> Column:
@@ -156,7 +156,7 @@ def _moved(s: Column, w: Column, act: Column) -> Column:
             _struct(now | {"live": lit(True), "reads": lit("names"), "names": F.when(s["aux"], c["names"]).otherwise(_none()), "roster": lit(False)}))
         return (
             F.when(act == "title", title).when(act == "begin", begin).when(act == "cue", cue)
-            .when(act == "plural", _let(begin, lambda b: _struct({f: b[f] for f in _FIELDS} | {"plural": lit(True), "buf": F.array(lit("Committee"))})))
+            .when(act == "plural", once(begin, lambda b: _struct({f: b[f] for f in _FIELDS} | {"plural": lit(True), "buf": F.array(lit("Committee"))})))
             .when(act == "another", _struct(now | {"reads": lit("bodies"), "open": lit(True), "buf": F.array(lit("Committee"), lit("on")), "plural": lit(True)}))
             .when(act == "vice", _struct(now | {"reads": lit("replaced"), "open": lit(True)})).when(act == "gone", _struct(now | {"reads": F.when(told, "replaced").otherwise(c["reads"])}))
             .when(act == "colon", _struct(now | {"reads": lit("names"), "roster": told})).when(act == "name", _struct(now | {"open": lit(True), "buf": one}))
@@ -169,12 +169,12 @@ def _moved(s: Column, w: Column, act: Column) -> Column:
     suffix = joined.when(F.size(people) > 0, _struct(same | {"names": F.when(s["reads"] == "replaced", s["names"]).otherwise(longer), "replaced": F.when(s["reads"] == "replaced", longer).otherwise(s["replaced"])})).otherwise(s)
     return (
         F.when(act == "skip", _struct(same | aux)).when(act == "push", _struct(same | aux | {"buf": F.concat(s["buf"], one)})).when(act == "suffix", suffix)
-        .otherwise(_let(_struct(_closed(s)), after))
+        .otherwise(once(_struct(_closed(s)), after))
     )
 
 
 def _ended(s: Column) -> Column:
-    return _let(_struct(_closed(s)), lambda c: _grouped(c, _none(), c["replaced"], live=F.lit(False), reads=F.lit("names"), aux=F.lit(False)))
+    return once(_struct(_closed(s)), lambda c: _grouped(c, _none(), c["replaced"], live=F.lit(False), reads=F.lit("names"), aux=F.lit(False)))
 
 
 def groups(text: Column, cues: list[str]) -> Column:
