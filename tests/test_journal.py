@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import pages as pg
-from tidemark.operators import islands, journal
+from tidemark.operators import islands, journal, spread
 
 KIND = "volume int, page int, text string"
 
@@ -68,7 +68,7 @@ def test_carried_equals_a_window_for_any_partitioning(spark):
     try:
         for n in ("1", "3", "17"):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            got = journal.carried(df, ["k"], ["n"], {"last_a": F.col("a"), "last_b": F.col("b")})
+            got = spread.carried(df, ["k"], ["n"], {"last_a": F.col("a"), "last_b": F.col("b")})
             assert sorted(map(str, got.collect())) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", kept)

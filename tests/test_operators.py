@@ -78,6 +78,22 @@ def test_predecessor_inserts_and_roster_resets(spark):
     assert sorted((r.scope, r.seq, r.member) for r in out.collect()) == [("s", 1, "a"), ("s", 2, "x"), ("s", 3, "b"), ("t", 1, "z")]
 
 
+def test_anchored_lists_against_plain_lists(spark):
+    rng, rows, want = random.Random(6), [], set()
+    for scope in ("s", "t", None):
+        held = []
+        for i in range(150):
+            member, after, roster = rng.choice([*"abcdefgh", None]), rng.choice([*"abcdefgh", None, None]), rng.random() < 0.03
+            rows.append((scope, 10 * i, member, after, roster))
+            held = [] if roster else [m for m in held if m is None or m != member]
+            at = held.index(after) + 1 if after is not None and after in held else len(held)
+            held.insert(at, member)
+        want |= {(scope, n, m) for n, m in enumerate(held, 1)} if scope else set()
+    df = spark.createDataFrame([r for r in rows if r[0]], "scope string, position int, member string, after string, full_roster boolean").repartition(3)
+    assert {(r.scope, r.seq, r.member) for r in ranking.replay_anchored(df, ["scope"]).collect()} == want
+    assert not ranking.replay_anchored(df.limit(0), ["scope"]).collect()
+
+
 def test_narrowing_keeps_all_when_none_matches(spark):
     c = spark.createDataFrame([(1, "a", "X"), (1, "b", "Y"), (2, "a", "X"), (2, "b", "X")], "q int, id string, st string")
     left = scoring.narrow(c, ["q"], F.col("st") == "Y")

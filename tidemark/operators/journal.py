@@ -11,11 +11,12 @@ to part, so a volume is never one group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cues as cu
 from ..functions import pages as pg
+from .spread import carried
 
 #: Wordings of frames and stops, by chamber, in any case; % stands for anything between, in one sentence.
 APPOINTS = {
@@ -61,23 +62,6 @@ def segments(text: Column, chamber: str) -> Column:
     return F.transform(parts, part)
 
 
-def carried(df: DataFrame, keys: list[str], order: list[str], marks: dict[str, Column]) -> DataFrame:
-    """Adds to each row the last non-null value of each mark, that of the row itself included, within its keys.
-
-    The rows are sorted over the whole cluster; each partition is carried for itself, and then takes from the partitions
-    before it what its keys had last there: one row for each key and partition.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.withColumns({f"_{m}": c for m, c in marks.items()}).repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id())
-    within = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({f"_{m}": F.last(f"_{m}", ignorenulls=True).over(within) for m in marks}).withColumn("_n", F.row_number().over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = rows.groupBy(*keys, "_part").agg(*(F.max_by(f"_{m}", "_n").alias(f"_{m}") for m in marks))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = ends.select(*keys, "_part", *(F.last(f"_{m}", ignorenulls=True).over(earlier).alias(f"_b_{m}") for m in marks))
-    out = rows.join(before, [*keys, "_part"], "left")
-    return out.select(*df.columns, *(F.coalesce(f"_{m}", f"_b_{m}").alias(m) for m in marks))
-
-
 def scan(pages: DataFrame, chamber: str, lasts: int = 3) -> DataFrame:
     """volume, page, day, body, member, place of all members that a chamber's pages seat.
 

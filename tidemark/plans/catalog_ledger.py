@@ -182,12 +182,12 @@ def rank_replay_ordered(spark, d):
 
 
 def rank_replay_anchored(spark, d):
-    li = table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.min("l_linenumber").alias("ln"))
-    w = Window.partitionBy("l_suppkey").orderBy("ln", "l_partkey")
-    member = F.col("l_partkey").cast("string")
-    after = F.when(F.col("l_partkey") % 3 == 0, F.lag(member, 2).over(w))
-    obs = li.select("l_suppkey", F.row_number().over(w).alias("position"), member.alias("member"), after.alias("after"), F.lit(False).alias("full_roster"))
-    return ranking.replay_anchored(obs, ["l_suppkey"])
+    """Line items of a supplier as evidence on a list: most are put last, some behind another, and now and then the list begins anew."""
+    li = table(spark, d, "lineitem").groupBy("l_suppkey", "l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey")).select(
+        "l_suppkey", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("position"), F.when(F.col("l_partkey") % 43 < 40, (F.col("l_partkey") % 43).cast("string")).alias("member"),
+        F.when(F.col("l_orderkey") % 3 == 0, ((F.col("l_partkey") + F.col("l_linenumber")) % 40).cast("string")).alias("after"), (F.col("l_orderkey") % 211 == 0).alias("full_roster"),
+    )
+    return ranking.replay_anchored(li, ["l_suppkey"])
 
 
 def infer_group_value(spark, d):
@@ -263,6 +263,17 @@ SQL = {
     "elementary_boundaries": f"WITH {IV}, b AS (SELECT user_id, valid_from AS since FROM iv UNION SELECT user_id, valid_to FROM iv) SELECT user_id, since, lead(since) OVER (PARTITION BY user_id ORDER BY since) AS until FROM b QUALIFY until IS NOT NULL",
     "merge_adjacent": f"WITH {IV}, s AS (SELECT *, CASE WHEN lag(valid_to) OVER w = valid_from THEN 0 ELSE 1 END AS s FROM iv WINDOW w AS (PARTITION BY user_id ORDER BY valid_from)), i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY valid_from ROWS UNBOUNDED PRECEDING) AS island FROM s) SELECT user_id, min(valid_from) AS valid_from, max(valid_to) AS valid_to FROM i GROUP BY user_id, island",
     "rank_replay_ordered": "WITH o AS (SELECT l_suppkey, CASE WHEN l_linenumber < 7 THEN l_partkey END AS member, CAST(l_shipdate AS DATE) AS day, l_linenumber, l_orderkey, l_extendedprice FROM lineitem), k AS (SELECT * FROM o QUALIFY member IS NULL OR row_number() OVER (PARTITION BY l_suppkey, member ORDER BY day DESC, l_linenumber DESC, l_orderkey DESC, l_extendedprice DESC) = 1), r AS (SELECT *, CAST(row_number() OVER w AS INTEGER) AS rank, CAST(sum(CASE WHEN member IS NULL THEN 1 ELSE 0 END) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS unresolved_before FROM k WINDOW w AS (PARTITION BY l_suppkey ORDER BY day, l_linenumber, l_orderkey, l_extendedprice)) SELECT l_suppkey, member, rank, unresolved_before FROM r WHERE member IS NOT NULL",
+    "rank_replay_anchored": """
+WITH RECURSIVE o AS (
+  SELECT l_suppkey AS s, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) AS n, CASE WHEN l_partkey % 43 < 40 THEN CAST(l_partkey % 43 AS VARCHAR) ELSE '-' END AS m,
+         CASE WHEN l_orderkey % 3 = 0 THEN CAST((l_partkey + l_linenumber) % 40 AS VARCHAR) END AS a, l_orderkey % 211 = 0 AS r FROM (SELECT l_suppkey, l_orderkey, l_linenumber, min(l_partkey) AS l_partkey FROM lineitem GROUP BY ALL)
+), f AS (
+  SELECT s, n, [m] AS l FROM o WHERE n = 1
+  UNION ALL
+  SELECT s, n, CASE WHEN ix > 0 THEN list_concat(list_append(rest[:ix], m), rest[ix + 1:]) ELSE list_append(rest, m) END
+  FROM (SELECT *, coalesce(list_position(rest, a), 0) AS ix FROM (SELECT o.s, o.n, o.m, o.a, CASE WHEN o.r THEN [] WHEN o.m = '-' THEN f.l ELSE list_filter(f.l, lambda x: x <> o.m) END AS rest FROM f JOIN o ON o.s = f.s AND o.n = f.n + 1))
+), last AS (SELECT s, arg_max(l, n) AS l FROM f GROUP BY s)
+SELECT s AS l_suppkey, CAST(seq AS BIGINT) AS seq, nullif(member, '-') AS member FROM (SELECT s, unnest(l) AS member, unnest(range(1, len(l) + 1)) AS seq FROM last)""",
     "infer_group_value": "WITH c AS (SELECT *, CASE WHEN turn % 2 = 0 THEN role END AS s FROM conversations) SELECT conv_id, turn, coalesce(s, CASE WHEN min(s) OVER w = max(s) OVER w THEN min(s) OVER w END) AS speaker FROM c WINDOW w AS (PARTITION BY conv_id)",
     "carry_forward": "WITH c AS (SELECT *, CASE WHEN turn % 3 = 0 THEN role END AS m FROM conversations) SELECT conv_id, turn, last_value(m IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS carried FROM c",
     "context_window": "SELECT conv_id, turn, sha256(array_to_string(list_filter(list(text) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), lambda x: length(trim(x)) > 0), chr(10))) AS near_sha256 FROM conversations",
