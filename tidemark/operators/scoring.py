@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """Rounded to three decimals; null over zero."""
-    return F.when(whole != 0, F.round(part / whole * 100, 3))
+    """Rounded to three decimals, halves to the even one; null over zero."""
+    return F.when(whole != 0, F.bround(part / whole * 100, 3))
 
 
 def compare_sets(reference: DataFrame, observed: DataFrame, keys: list[str]) -> DataFrame:

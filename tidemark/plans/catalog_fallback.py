@@ -136,8 +136,8 @@ WITH ask AS (
          (SELECT count(*) FROM told) AS resolved, (SELECT count(*) FROM seen) AS observed, (SELECT count(*) FROM told JOIN seen USING (code, member)) AS overlap FROM e
 )
 SELECT 113 AS congress, DATE '2014-01-01' AS day, 'H' AS chamber, 'standing' AS scope, *, resolved - overlap AS directory_only, observed - overlap AS observed_only,
-       CASE WHEN entries - unmapped_entries > 0 THEN round(100.0 * resolved / (entries - unmapped_entries), 3) END AS resolution_pct, CASE WHEN entries > 0 THEN round(100.0 * overlap / entries, 3) END AS coverage_pct,
-       CASE WHEN observed > 0 THEN round(100.0 * overlap / observed, 3) END AS observed_pct,
+       CASE WHEN entries - unmapped_entries > 0 THEN round_even(100.0 * resolved / (entries - unmapped_entries), 3) END AS resolution_pct, CASE WHEN entries > 0 THEN round_even(100.0 * overlap / entries, 3) END AS coverage_pct,
+       CASE WHEN observed > 0 THEN round_even(100.0 * overlap / observed, 3) END AS observed_pct,
        CASE WHEN entries = 0 THEN 'NO_REFERENCE' WHEN overlap >= 0.5 * entries AND (entries = unmapped_entries OR resolved >= 0.01 * (entries - unmapped_entries)) AND unmapped_entries = 0 THEN 'PASS' ELSE 'FAIL' END AS gate_status FROM c""",
 }
 QUERIES = {f.__name__: f for f in (resolve_bodies_fallback, resolve_senate_names, directory_scores)}

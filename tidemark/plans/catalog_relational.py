@@ -94,7 +94,7 @@ def _sides(spark, d):
 
 
 SIDES = "e AS (SELECT event_id, user_id, event_type AS scope, CAST(weekofyear(ts) AS INTEGER) AS week FROM events), l AS (SELECT DISTINCT week, scope, user_id, 1 AS x FROM e WHERE event_id % 2 = 0), r AS (SELECT DISTINCT week, scope, user_id, 1 AS y FROM e WHERE event_id % 2 = 1), sides AS (SELECT week, scope, user_id, CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 'both' WHEN x IS NOT NULL THEN 'directory_only' ELSE 'observed_only' END AS side FROM l FULL JOIN r USING (week, scope, user_id))"
-SCORES = SIDES + ", c AS (SELECT week, scope, count(*) FILTER (side = 'both') AS n_both, count(*) FILTER (side = 'directory_only') AS n_directory_only, count(*) FILTER (side = 'observed_only') AS n_observed_only FROM sides GROUP BY ALL), scores AS (SELECT *, CASE WHEN n_both + n_directory_only <> 0 THEN round(n_both::DOUBLE / (n_both + n_directory_only) * 100, 3) END AS coverage_pct, CASE WHEN n_both + n_observed_only <> 0 THEN round(n_both::DOUBLE / (n_both + n_observed_only) * 100, 3) END AS observed_pct, CASE WHEN n_both + n_directory_only = 0 THEN 'NO_REFERENCE' WHEN n_both >= 0.9 * (n_both + n_directory_only) THEN 'PASS' ELSE 'FAIL' END AS gate_status FROM c)"
+SCORES = SIDES + ", c AS (SELECT week, scope, count(*) FILTER (side = 'both') AS n_both, count(*) FILTER (side = 'directory_only') AS n_directory_only, count(*) FILTER (side = 'observed_only') AS n_observed_only FROM sides GROUP BY ALL), scores AS (SELECT *, CASE WHEN n_both + n_directory_only <> 0 THEN round_even(n_both::DOUBLE / (n_both + n_directory_only) * 100, 3) END AS coverage_pct, CASE WHEN n_both + n_observed_only <> 0 THEN round_even(n_both::DOUBLE / (n_both + n_observed_only) * 100, 3) END AS observed_pct, CASE WHEN n_both + n_directory_only = 0 THEN 'NO_REFERENCE' WHEN n_both >= 0.9 * (n_both + n_directory_only) THEN 'PASS' ELSE 'FAIL' END AS gate_status FROM c)"
 
 
 def overlap_scores(spark, d):

@@ -105,7 +105,7 @@ _PACKAGES = "CASE WHEN o_orderkey % 4 = 0 THEN 'CREC-' || o_orderkey ELSE 'BILLS
 
 
 def candidate_groups(spark, d):
-    o = _orders(spark, d).selectExpr("o_orderkey", f"{_PACKAGES} AS package", "CASE WHEN o_orderkey % 31 = 0 OR o_custkey % 17 = 3 AND o_orderkey % 3 = 1 THEN 'committee_assignment' ELSE 'other' END AS candidate_class")
+    o = _orders(spark, d).selectExpr("o_orderkey", f"{_PACKAGES} AS package", "CASE WHEN o_orderkey % 31 = 0 OR o_custkey % 17 = 3 AND o_orderkey % 3 = 1 THEN 'committee_assignment' ELSE 'other' END AS candidate_class", "CASE o_orderkey % 5 WHEN 0 THEN 'daily_record' WHEN 1 THEN 'house_resolution' WHEN 2 THEN NULL ELSE 'senate_resolution' END AS expected_type")
     return mf.propagate_candidates(o)
 
 
@@ -238,8 +238,8 @@ b AS (SELECT congress, day, chamber, scope, count(*) AS resolved FROM r GROUP BY
 x AS (SELECT congress, day, chamber, scope, count(*) AS overlap FROM r JOIN o USING (congress, day, chamber, scope, code, member) GROUP BY ALL),
 j AS (SELECT congress, day, chamber, scope, coalesce(entries, 0) AS entries, coalesce(unresolved_entries, 0) AS unresolved_entries, coalesce(unmapped_entries, 0) AS unmapped_entries, coalesce(unmapped_bodies, 0) AS unmapped_bodies, coalesce(resolved, 0) AS resolved, coalesce(observed, 0) AS observed, coalesce(overlap, 0) AS overlap
       FROM a FULL JOIN b USING (congress, day, chamber, scope) FULL JOIN c USING (congress, day, chamber, scope) LEFT JOIN x USING (congress, day, chamber, scope))
-SELECT *, resolved - overlap AS directory_only, observed - overlap AS observed_only, CASE WHEN entries > unmapped_entries THEN round(resolved / (entries - unmapped_entries) * 100, 3) END AS resolution_pct,
-       CASE WHEN entries > 0 THEN round(overlap / entries * 100, 3) END AS coverage_pct, CASE WHEN observed > 0 THEN round(overlap / observed * 100, 3) END AS observed_pct,
+SELECT *, resolved - overlap AS directory_only, observed - overlap AS observed_only, CASE WHEN entries > unmapped_entries THEN round_even(resolved / (entries - unmapped_entries) * 100, 3) END AS resolution_pct,
+       CASE WHEN entries > 0 THEN round_even(overlap / entries * 100, 3) END AS coverage_pct, CASE WHEN observed > 0 THEN round_even(overlap / observed * 100, 3) END AS observed_pct,
        CASE WHEN entries = 0 THEN 'NO_REFERENCE' WHEN overlap >= 0.6 * entries AND resolved >= 0.7 * (entries - unmapped_entries) AND unmapped_entries = 0 THEN 'PASS' ELSE 'FAIL' END AS gate_status FROM j""",
     "directory_mismatches": _SIDES + """
 SELECT DISTINCT congress, day, chamber, scope, 'unmapped_committee' AS kind, body, CAST(NULL AS VARCHAR) AS code, CAST(NULL AS VARCHAR) AS member FROM e WHERE code IS NULL
@@ -283,9 +283,10 @@ SELECT c_custkey, CASE WHEN regexp_matches(t, 'RESIGNATIONS? AS (A )?MEMBER') TH
     "candidate_groups": """
 WITH o AS (
   SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'CREC-' || o_orderkey ELSE 'BILLS-113' || CASE WHEN o_custkey % 2 = 0 THEN 'hres' ELSE 'SRES' END || o_custkey % 40 || 'v' || o_orderkey END AS package,
-         CASE WHEN o_orderkey % 4 > 0 THEN o_custkey % 40 END AS g, o_orderkey % 31 = 0 OR o_custkey % 17 = 3 AND o_orderkey % 3 = 1 AS hit FROM orders
+         CASE WHEN o_orderkey % 4 > 0 THEN o_custkey % 40 END AS g, o_orderkey % 31 = 0 OR o_custkey % 17 = 3 AND o_orderkey % 3 = 1 AS hit,
+         ['daily_record', 'house_resolution', NULL, 'senate_resolution', 'senate_resolution'][o_orderkey % 5 + 1] AS expected_type FROM orders
 )
-SELECT o_orderkey, package, CASE WHEN hit OR (g IS NOT NULL AND bool_or(hit) OVER (PARTITION BY g)) THEN 'committee_assignment' ELSE 'other' END AS candidate_class FROM o""",
+SELECT o_orderkey, package, expected_type, CASE WHEN hit OR (g IS NOT NULL AND bool_or(hit AND expected_type LIKE '%_resolution') OVER (PARTITION BY g)) THEN 'committee_assignment' ELSE 'other' END AS candidate_class FROM o""",
     "citations": "SELECT c_custkey, CAST(CASE WHEN c_custkey % 4 < 2 THEN c_custkey END AS INTEGER) AS number, CASE WHEN c_custkey % 3 = 0 THEN 'S' ELSE ['H', 'S', 'H', ''][c_custkey % 4 + 1] END AS chamber FROM customer",
     "source_categories": "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'required' ELSE MAP {'1': 'required', '2': 'optional', '3': 'optional', '5': 'validation_only'}[substr(o_orderpriority, 1, 1)] END AS category FROM orders",
     "retrieval_state": "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'MISSING' WHEN o_orderkey % 5 > 0 AND o_orderkey % 11 = 0 THEN 'HASH_MISMATCH' WHEN o_orderkey % 13 = 0 THEN 'SIZE_MISMATCH' ELSE 'RETRIEVED' END AS status FROM orders",

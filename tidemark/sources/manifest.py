@@ -48,10 +48,14 @@ def granule_chamber(kind: Column, granule: Column) -> Column:
     return F.when(said.contains("HOUSE"), "H").when(said.contains("SENATE"), "S").when(page.isin("H", "E"), "H").when(page == "S", "S").otherwise("")
 
 
+#: Expected types whose packages speak for their group.
+RESOLUTION_TYPES = ["house_resolution", "senate_resolution"]
+
+
 def propagate_candidates(rows: DataFrame, broadcast_rows: int = 200_000) -> DataFrame:
-    """A resolution one of whose versions is a committee assignment is one in all its versions."""
+    """A resolution one of whose versions, expected as a resolution, is a committee assignment is one in all its versions."""
     group = resolution_group(F.col("package"))
-    hits = rows.filter((F.col("candidate_class") == "committee_assignment") & group.isNotNull()).select(group.alias("hit")).distinct()
+    hits = rows.filter((F.col("candidate_class") == "committee_assignment") & F.col("expected_type").isin(RESOLUTION_TYPES) & group.isNotNull()).select(group.alias("hit")).distinct()
     hits = F.broadcast(hits) if hits.limit(broadcast_rows + 1).count() <= broadcast_rows else hits
     marked = rows.join(hits, group == F.col("hit"), "left")
     return marked.withColumn("candidate_class", F.when(F.col("hit").isNotNull(), "committee_assignment").otherwise(F.col("candidate_class"))).drop("hit")
