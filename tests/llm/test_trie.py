@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import defaultdict
 
+import duckdb
 import pytest
 
 from tidemark.llm import prefix_trie, queries
@@ -71,6 +72,9 @@ def test_registered_query_on_the_table(spark):
     path = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{path}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     assert got(queries.QUERIES["op12_prefix_trie"](spark, path)) == brute(rows)
+    duckdb.sql(f"CREATE OR REPLACE VIEW conversations AS SELECT * FROM '{path}/conversations.parquet'")
+    found = duckdb.sql(f"SELECT {', '.join(COLUMNS)} FROM ({queries.SQL['op12_prefix_trie']})").fetchall()
+    assert sorted(found, key=lambda r: r[:2]) == brute(rows)
 
 
 def test_odd_rows(spark):

@@ -52,5 +52,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(found) AS BIGINT) AS
 FROM phrases LEFT JOIN hits USING (uid)
 """
 
+#: crc32 by its bits, then every prefix of every rebuilt conversation as a key; subtrees are the keys that begin with a node's.
+OP12_SQL = """
+WITH conv AS (
+  SELECT conv_id AS c, list({'k': md5(coalesce(role, '') || chr(0) || coalesce(text, '')) || '/', 'b': octet_length(encode(coalesce(text, '')))} ORDER BY turn NULLS FIRST, role, text) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+  SELECT c, t, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT) % 9 AS h FROM conv
+), rebuilt AS (
+  SELECT a.c, list_concat(CASE WHEN b.c IS NULL THEN [] ELSE list_slice(b.t, 1, a.h) END, list_slice(a.t, a.h + 1, len(a.t))) AS p FROM hashed a LEFT JOIN hashed b ON b.c = a.c - a.c % 5
+), steps AS (
+  SELECT c, d, coalesce(array_to_string(list_transform(list_slice(p, 1, d), lambda x: x.k), ''), '') AS key, coalesce(array_to_string(list_transform(list_slice(p, 1, d - 1), lambda x: x.k), ''), '') AS up, len(p) = d AS ends, CASE WHEN d > 0 THEN p[d].b ELSE 0 END AS b
+  FROM (SELECT c, p, unnest(range(0, len(p) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, key, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(b) AS own, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM steps GROUP BY d, key
+), kids AS (SELECT d - 1 AS d, up AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), full_nodes AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (d, key)
+), sums AS (SELECT x.d, x.key, count(*) FILTER (y.n_children = 0) AS n_leaves, sum(y.own) AS saved FROM full_nodes x JOIN full_nodes y ON starts_with(y.key, x.key) GROUP BY x.d, x.key
+)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM full_nodes v JOIN sums USING (d, key) LEFT JOIN nodes u ON u.d = v.d - 1 AND u.key = v.up
+"""
+
 QUERIES = {f.__name__: f for f in (op11_license_scan, op12_prefix_trie, op13_embedding_whitening)}
-SQL = {"op11_license_scan": OP11_SQL}
+SQL = {"op11_license_scan": OP11_SQL, "op12_prefix_trie": OP12_SQL}
