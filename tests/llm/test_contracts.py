@@ -232,6 +232,16 @@ def test_long_lists_give_the_same_links(spark):
     assert got[0] == got[1] == set(enumerate(low))
 
 
+def test_long_lists_keep_links_of_sets_of_one_block(spark, monkeypatch):
+    """Pairs of unlike sizes in one block, whichever of the two has the smaller component; only the index level links them."""
+    monkeypatch.setattr(jaccard, "_stars", lambda nodes, *_: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    texts = [" ".join(f"p{g}w{i}" for i in range(60 - less)) for g in range(40) for less in (0, 1)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], DOCS)
+    for n in (1, 10_000):
+        got = {(r.doc_id, r.component_id) for r in jaccard.jaccard_groups(docs, jaccard.Likeness(k=1), long_list=n).collect()}
+        assert got == {(i, i - i % 2) for i in range(len(texts))}
+
+
 def test_one_row_of_repeated_ids(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (1, "g h i j k l"), (2, "a b c d e f"), (3, ""), (3, ""), (None, "a b c d e f")], "doc_id long, text string")
     kept = Counter((r.doc_id) for r in jaccard.keep_one(docs).collect())

@@ -253,15 +253,16 @@ def _long_lists(lists: DataFrame, nodes: DataFrame, like: Likeness, broadcast_by
     key = ["token", "block", "place", "component"]
     folds = {f"{how.__name__}_{f}": how(f) for f in ("f1", "f2") for how in (F.bit_and, F.bit_or)}
     sole = F.when(F.count("*") == 1, F.min("node")).alias("sole")  # an entry of one set brings its whole signature
-    groups = blocked.groupBy(*key).agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("left"), sole, *(c.alias(name) for name, c in folds.items()))
+    ends = [F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("node").alias("first"), F.max("node").alias("last")]
+    groups = blocked.groupBy(*key).agg(*ends, F.max(F.col("n") - F.col("pos")).alias("left"), sole, *(c.alias(name) for name, c in folds.items()))
     groups = _signed(cut(groups, "list-groups"), nodes, broadcast_bytes)
     a = groups.withColumnsRenamed({c: f"a_{c}" for c in groups.columns if c != "token"})
     blocks = F.explode(F.sequence(F.col("a_block"), F.col("a_block") + SIZES)).alias("block")
     a = a.select("*", blocks).select("*", F.explode(F.sequence(F.lit(0), F.lit(PLACES - 1))).alias("place"))
     a = a.filter(like.reachable(F.col("a_lo"), F.col("block"), F.col("place")))
-    # a pair within one block is met from one side only
-    once = (F.col("a_block") != F.col("block")) | (F.col("a_place") != F.col("place")) | (F.col("a_component") < F.col("component"))
-    met = a.join(groups, ["token", "block", "place"]).filter("a_component <> component").filter(once)
+    # the side that is called a brings the smaller set of a pair, in the order of _pairs
+    smaller = (F.col("a_lo") < F.col("hi")) | ((F.col("a_lo") == F.col("hi")) & (F.col("a_first") < F.col("last")))
+    met = a.join(groups, ["token", "block", "place"]).filter("a_component <> component").filter(smaller)
     met = met.filter(like.den * F.least("a_hi", "hi") >= like.num * F.greatest("a_lo", "lo"))
     met = met.filter(like.positions(F.col("a_lo"), F.col("lo"), F.col("a_left"), F.col("left")))
     # bits that all sets of one entry have and none of the other's differ in every pair of their members
