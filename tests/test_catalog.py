@@ -37,6 +37,19 @@ def test_query_equals_sql(spark, name):
     assert ordered(got.select(columns).collect()) == ordered([r[i] for i in at] for r in expected.fetchall())
 
 
+def test_page_gates_equal_sql_for_every_surname(spark, tmp_path):
+    """Every segment, nation and form, so that surnames which are stopwords of the gate come up."""
+    con = duckdb.connect()
+    segments = [r[0] for r in con.sql(f"SELECT DISTINCT c_mktsegment FROM '{DATA}/customer.parquet'").fetchall()]
+    rows = [(s, n) for s in sorted({*segments, "HOUSEHOLD"}) for n in range(25)]
+    made = spark.range(156 * len(rows)).selectExpr("id AS c_custkey", f"CAST(floor(id / 156) AS INT) % {len(rows)} AS i")
+    made = made.join(spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, c_mktsegment string, c_nationkey int"), "i").drop("i")
+    made.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    con.sql(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    expected = con.sql(catalog.SQL["page_gates"]).fetchall()
+    assert ordered(catalog.QUERIES["page_gates"](spark, str(tmp_path)).collect()) == ordered(expected)
+
+
 def test_every_customer_is_resolved(spark):
     """By an own loop over all customers."""
     customers = duckdb.sql(f"SELECT c_custkey, right(c_name, 3), c_nationkey, c_mktsegment FROM '{DATA}/customer.parquet'").fetchall()
