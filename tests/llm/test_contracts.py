@@ -242,6 +242,19 @@ def test_long_lists_keep_links_of_sets_of_one_block(spark, monkeypatch):
         assert got == {(i, i - i % 2) for i in range(len(texts))}
 
 
+def test_signatures_tell_large_sets_apart(spark):
+    """Unlike sets of thousands of shingles are ruled out before their texts move; links across signatures of two lengths stay."""
+    rng = np.random.default_rng(11)
+    base = np.unique(rng.integers(0, 2**63, 1030, dtype=np.uint64))
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (8000, 8100)] + [base, base[10:]]
+    plain = lambda x: None if x is None else x.tolist()
+    rows = [(i, len(x), plain(jaccard.parity(x, jaccard.SIGNATURE)), plain(jaccard._fine(x))) for i, x in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, n long, sig array<long>, fine array<long>")
+    pairs = spark.createDataFrame([(0, 1), (3, 2)], "a long, b long")
+    got = jaccard._by_signature(pairs, nodes, jaccard.Likeness(), 1 << 20).collect()
+    assert [tuple(r) for r in got] == [(3, 2)] and rows[2][3] is not None and rows[3][3] is None
+
+
 def test_one_row_of_repeated_ids(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (1, "g h i j k l"), (2, "a b c d e f"), (3, ""), (3, ""), (None, "a b c d e f")], "doc_id long, text string")
     kept = Counter((r.doc_id) for r in jaccard.keep_one(docs).collect())

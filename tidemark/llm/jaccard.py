@@ -38,7 +38,7 @@ SIZES, PLACES = 2, 4
 SIGNATURE = 16  # longs
 SEEDS = np.array([0x51ED270B, 0x2545F491, 0x7FEB352D, 0x846CA68B], dtype=U64)
 
-ROWS = "kind int, doc_id long, n long, s1 long, s2 long, minima array<long>, sig array<long>"
+ROWS = "kind int, doc_id long, n long, s1 long, s2 long, minima array<long>, sig array<long>, fine array<long>"
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,12 @@ def _digest(s: np.ndarray) -> np.ndarray:
     return np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype="<i8")
 
 
+def _fine(s: np.ndarray) -> np.ndarray | None:
+    """A signature of at least a bit a member (a power of two) where the usual one has less: it would tell large sets apart no more."""
+    longs = (1 << (len(s) - 1).bit_length()) // 64
+    return parity(s, longs) if longs > SIGNATURE else None
+
+
 def _describe(docs: DataFrame, like: Likeness) -> DataFrame:
     """kind 0: a row for each document; kind 1: this task's shingles by bucket, in ``sig``."""
 
@@ -97,25 +103,25 @@ def _describe(docs: DataFrame, like: Likeness) -> DataFrame:
         import pyarrow as pa
 
         names = [x.split()[0] for x in ROWS.split(", ")]
-        kinds = [pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int64())]
+        kinds = [pa.int32(), *[pa.int64()] * 4, *[pa.list_(pa.int64())] * 3]
         total = np.zeros(BUCKETS, dtype=np.int64)
         pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
         for batch in batches:
             doc_ids, rows = batch.column(0).to_pylist(), []
             for i, s in shingle_sets(batch.column(1), like.k):
                 if not len(s):
-                    rows.append((0, doc_ids[i], 0, None, None, None, None))
+                    rows.append((0, doc_ids[i], 0, None, None, None, None, None))
                 else:
                     total += np.bincount(_bucket(s), minlength=BUCKETS)
                     minima = [int(mixed(s ^ seed).min().view(np.int64)) for seed in SEEDS]
-                    rows.append((0, doc_ids[i], len(s), *_digest(s).tolist(), minima, parity(s, SIGNATURE)))
+                    rows.append((0, doc_ids[i], len(s), *_digest(s).tolist(), minima, parity(s, SIGNATURE), _fine(s)))
                 if len(rows) == 512:
                     yield pack(rows)
                     rows = []
             if rows:
                 yield pack(rows)
         if total.any():
-            yield pack([(1, None, None, None, None, None, total)])
+            yield pack([(1, None, None, None, None, None, total, None)])
 
     return docs.select("doc_id", "text").mapInArrow(trimmed(run), ROWS)
 
@@ -176,14 +182,22 @@ def _folds_apart(a1: Column, a2: Column, b1: Column, b2: Column) -> Column:
     return F.bit_count(a1.bitwiseXOR(b1)) + F.bit_count(a2.bitwiseXOR(b2))
 
 
+def _of_longs(sig: Column, longs: Column) -> Column:
+    """A signature folded to so many longs, a power of two no larger than its own; the bound stays."""
+    fold = lambda i: F.aggregate(F.sequence(F.lit(0), (F.size(sig) / longs).cast("int") - 1), F.lit(0).cast("long"), lambda t, j: t.bitwiseXOR(F.get(sig, i + j * longs)))
+    return F.when(F.size(sig) == longs, sig).otherwise(F.transform(F.sequence(F.lit(0), longs - 1), fold))
+
+
 def _by_signature(pairs: DataFrame, nodes: DataFrame, like: Likeness, broadcast_bytes: int) -> DataFrame:
     """The distinct ``pairs`` whose whole signatures allow a link; only sets in a pair bring theirs."""
     pairs = cut(pairs.distinct(), "folded-pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    signed = nodes.select("node", "n", "sig").join(small(cut(ends, "pair-ends"), broadcast_bytes), "node", "left_semi")
+    signed = nodes.select("node", "n", F.coalesce("fine", "sig").alias("sig")).join(small(cut(ends, "pair-ends"), broadcast_bytes), "node", "left_semi")
     a, b = (signed.withColumnsRenamed({"node": x, "n": f"{x}_n", "sig": f"{x}_sig"}) for x in "ab")
     met = pairs.join(a, "a").join(b, "b")
-    apart = F.aggregate(F.zip_with("a_sig", "b_sig", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    longs = F.least(F.size("a_sig"), F.size("b_sig"))
+    apart = F.zip_with(_of_longs(F.col("a_sig"), longs), _of_longs(F.col("b_sig"), longs), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(apart, F.lit(0), lambda t, x: t + x)
     return met.filter(like.bits(F.col("a_n"), F.col("b_n"), apart)).select("a", "b")
 
 
@@ -308,7 +322,7 @@ def jaccard_groups(docs: DataFrame, like: Likeness = Likeness(), broadcast_bytes
     counts = _bucket_counts(rows)
     sets = rows.filter("kind = 0").drop("kind")
     nodes = sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("minima").alias("minima"), F.first("sig").alias("sig")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("minima").alias("minima"), F.first("sig").alias("sig"), F.first("fine").alias("fine")
     )
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "set-nodes")
 
