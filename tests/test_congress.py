@@ -51,6 +51,19 @@ def test_second_attempt_takes_the_party_of_the_roster(spark):
     assert got == {1: "A", 2: "C", 3: None, 4: "C", 5: "E", 6: None, 7: None, 8: None, 9: "C"}
 
 
+def test_caucus_of_services_alike_in_day_and_party(spark):
+    """A stated caucus goes before none, whichever row comes first; the party and the day go before it."""
+    day, later = D(2020, 1, 1), D(2020, 2, 1)
+    services = {
+        1: [(day, None, 5, None), (day, None, 5, 900)], 2: [(day, None, 5, 900), (day, None, 5, None)], 3: [(day, None, 5, 900), (day, None, 7, None)], 4: [(day, None, 5, 900), (later, None, 5, None)],
+        5: [(day, None, 5, 900), (day, None, 5, 800), (day, None, 5, None)], 6: [(day, later, 5, 900), (day, None, 5, None)], 7: [(day, None, None, None), (day, None, None, 900)],
+    }
+    rows = spark.createDataFrame([(m, *s) for m, held in services.items() for s in held], "member int, valid_from date, valid_to date, party_code int, caucus_code int").coalesce(1)
+    asked = spark.createDataFrame([(m, D(2020, 3, 1)) for m in services], "member int, day date")
+    got = {r.member: r.caucus for r in resolve.caucus_party(asked, rows, ["member"]).collect()}
+    assert got == {1: 900, 2: 900, 3: 7, 4: 5, 5: 900, 6: 5, 7: 900}
+
+
 OBS = "scope int, day date, number int, block int, ordinal int, observation string, member string, raw string, party int, after string, after_raw string, full_roster boolean"
 
 

@@ -95,9 +95,12 @@ def agreeing(attempts: DataFrame, query: list[str], found: str) -> DataFrame:
 
 
 def caucus_party(queries: DataFrame, services: DataFrame, keys: list[str]) -> DataFrame:
-    """Of the services that cover ``day`` the latest one's caucus, else its party."""
+    """Of the services that cover ``day`` the latest one's caucus, else its party.
+
+    Of several that begin on one day the greatest party counts, and of those alike in it too one that states a caucus (the greatest).
+    """
     met = queries.join(services, keys).filter((F.col("valid_from") <= F.col("day")) & (F.col("valid_to").isNull() | (F.col("day") < F.col("valid_to"))))
-    latest = F.max_by(F.coalesce("caucus_code", "party_code"), F.struct("valid_from", "party_code"))
+    latest = F.max_by(F.coalesce("caucus_code", "party_code"), F.struct("valid_from", "party_code", "caucus_code"))
     return met.groupBy(*keys, "day").agg(latest.alias("caucus"))
 
 
