@@ -1,6 +1,7 @@
 """Names, resolution, anchored ranks, policies and pages on small made-up rows."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,65 @@ def test_caucus_of_services_alike_in_day_and_party(spark):
     assert got == {1: 900, 2: 900, 3: 7, 4: 5, 5: 900, 6: 5, 7: 900}
 
 
+def test_resolution_against_a_loop(spark):
+    """Members with several rows and names, compound surnames, ranges; mentions that are asked more than once."""
+    import random
+
+    rng, day = random.Random(5), lambda y: D(y, 1, 1)
+    lasts, firsts, full = ["Low", "De Low", "Ash", "Elm Ash"], ["James", "Jim", "Ann", "Anna", "Bob", None], [None, None, "Ann Low", "Jim De Low"]
+    members = [
+        (rng.choice([1, 2]), f"m{rng.randrange(14)}", rng.choice(firsts), rng.choice([None, None, "Nan", "Bill"]), rng.choice(lasts), rng.choice(full), rng.choice(["OH", "TX", None]), rng.choice(["D", "R", None]), rng.choice(["F", "M", None]), day(2000 + rng.randrange(4)), rng.choice([None, day(2006), day(2008)]))
+        for _ in range(40)
+    ]
+    raws = ["Low", "Ash", "Mr. Low", "De Low", "Jim Low", "James Q. Low", "Ann Low", "Nan Elm Ash", "Robert Ash", "Bill De Low", "Jo Ash", "Low of Ohio", "Ann Ash of Texas", None]
+    asked = [(i, rng.choice([1, 2, 3]), rng.choice(raws), rng.choice([None, day(2001), day(2005), day(2007)]), rng.choice([None, "OH", "Utah"]), rng.choice([None, "D", "R"]), rng.choice([None, "F", "M"])) for i in range(500)]
+    formal = {"jim": "james", "bob": "robert", "bill": "william"}
+    word = lambda n: (n or "").lower().split(" ")[0]
+    given = lambda n: formal.get(word(n), word(n))
+    meet = lambda a, b: a is not None and (word(a) in word(b) or word(b) in word(a) or given(a) == given(b))
+    want = {}
+    for i, scope, raw, at, state, party, gender in asked:
+        name, _, of = (raw or "").removeprefix("Mr. ").partition(" of ")
+        name, wanted = name.lower(), {"OH": "OH", "Utah": "UT", "Ohio": "OH", "Texas": "TX"}.get(state or of)
+        words = name.split()
+        levels = {1: {}, 2: {}, 3: {}, 4: {}}
+        for m in members:
+            last = m[4].lower()
+            if m[0] != scope or not name or (at and not (m[9] <= at and (m[10] is None or at < m[10]))):
+                continue
+            several = len(words) > 1
+            tails = [f"{given(name)}|{' '.join(words[k:])}" for k in range(1, len(words))]
+            fits = {
+                1: name == last, 2: not several and " " in last and name == last.split()[-1],
+                3: several and ((m[5] or "").lower() == name or any(f and f"{given(f)}|{last}" in tails for f in (m[2], m[3]))), 4: several and words[-1] == last and (meet(m[2], name) or meet(m[3], name)),
+            }
+            for level, fit in fits.items():
+                if fit:
+                    levels[level].setdefault(m[1], []).append(m)
+        if len(levels[2]) > 1:
+            levels[2] = {}
+        left = next((found for found in levels.values() if found), {})
+        for at_, asks in ((6, wanted), (7, party), (8, gender)):
+            held = {k: min((r[at_] for r in rows if r[at_]), default=None) for k, rows in left.items()}
+            left = {k: rows for k, rows in left.items() if asks and held[k] == asks} or left
+        want[i] = (next(iter(left)), "resolved") if len(left) == 1 else (None, "ambiguous" if left else "unknown")
+    got = resolve.resolve_members(spark.createDataFrame(asked, MENTION), spark.createDataFrame(members, MEMBER), ["scope"]).collect()
+    assert len(got) == 500 and {r.id: (r.member, r.status) for r in got} == want and len({s for _, s in want.values()}) == 3
+
+
+def test_many_members_and_mentions_of_one_name(spark):
+    """30,000 mentions under a surname that 3,000 members share are no 90,000,000 pairs."""
+    began = time.monotonic()
+    held = spark.range(3000).selectExpr(
+        "1 AS scope", "concat('m', lpad(id, 4, '0')) AS member", "'Ann' AS first_name", "CAST(NULL AS STRING) AS nickname", "'Low' AS last_name", "CAST(NULL AS STRING) AS full_name", "IF(id = 7, 'UT', IF(id % 2 = 0, 'OH', 'TX')) AS state",
+        "IF(id % 3 = 0, 'D', 'R') AS party", "'F' AS gender", "DATE '2000-01-01' AS valid_from", "CAST(NULL AS DATE) AS valid_to",
+    )
+    asked = spark.range(30000).selectExpr("CAST(id AS INT) AS id", "1 AS scope", "IF(id % 2 = 0, 'Low', 'Ann Low') AS raw", "CAST(NULL AS DATE) AS day", "IF(id % 3 = 0, 'UT', 'OH') AS state", "'D' AS party", "CAST(NULL AS STRING) AS gender")
+    got = resolve.resolve_members(asked, held, ["scope"]).groupBy(F.col("id") % 3 == 0, "member", "status").count().collect()
+    assert {tuple(r) for r in got} == {(True, "m0007", "resolved", 10000), (False, None, "ambiguous", 20000)}
+    assert time.monotonic() - began < 60
+
+
 OBS = "scope int, day date, number int, block int, ordinal int, observation string, member string, raw string, party int, after string, after_raw string, full_roster boolean"
 
 

@@ -8,11 +8,10 @@ outside a shared key, so the work grows with the rows, not with their product.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import people as pp
-from .scoring import narrow
 
 #: Levels: whole surname, last word of a compound surname, full or given name with surname, last word with given name.
 SURNAME, COMPOUND, FULL, LAST_WORD = 1, 2, 3, 4
@@ -47,26 +46,41 @@ def mention_keys(mentions: DataFrame) -> DataFrame:
     return out.withColumn("k", F.explode(F.array_distinct(keys))).select("*", "k.level", "k.key").drop("k").filter("key IS NOT NULL AND key <> ''")
 
 
+def member_classes(members: DataFrame, scope: list[str]) -> DataFrame:
+    """scope, level, key, rows, lo, hi: members under one key whose rows are alike, as the smallest and greatest of them.
+
+    ``rows``: all that a mention asks of a member (first names only where the level does), a struct for each of its ranges.
+    """
+    said = lambda c: F.when(F.col("level") == LAST_WORD, pp.first_forms(F.col(c))).alias(c)
+    row = F.struct(said("first_name"), said("nickname"), "state", "party", "gender", "valid_from", "valid_to")
+    held = member_keys(members, scope).groupBy(*scope, "level", "key", "member").agg(F.array_sort(F.collect_set(row)).alias("rows"))
+    return held.groupBy(*scope, "level", "key", "rows").agg(F.min("member").alias("lo"), F.max("member").alias("hi"))
+
+
 def resolve_members(mentions: DataFrame, members: DataFrame, scope: list[str]) -> DataFrame:
     """``mentions`` (id, scope, raw, day, state, party, gender) to (id, member, status).
 
     status: resolved, ambiguous or unknown. A member counts on the days of its range
     (``valid_to`` exclusive, null open; a null day takes all). Ids are unique.
+    Mentions alike in all but their id are one question, and a question meets the classes of members under its keys.
     """
-    keyed = member_keys(members, scope).select(*scope, "level", "key", "member", *(F.col(c).alias(f"m_{c}") for c in ("first_name", "nickname", "full_name", "state", "party", "gender", "valid_from", "valid_to")))
-    asked = mention_keys(mentions)
-    met = asked.join(keyed, [*scope, "level", "key"])
-    met = met.filter(F.col("day").isNull() | ((F.col("m_valid_from") <= F.col("day")) & (F.col("m_valid_to").isNull() | (F.col("day") < F.col("m_valid_to")))))
-    names_fit = pp.first_names_meet(F.col("m_first_name"), F.col("name")) | F.coalesce(pp.first_names_meet(F.col("m_nickname"), F.col("name")), F.lit(False))
-    met = met.filter((F.col("level") != LAST_WORD) | F.coalesce(names_fit, F.lit(False)))
-    met = met.groupBy("id", "level", "member", "wanted_state", "party", "gender").agg(*(F.min(f"m_{c}").alias(f"m_{c}") for c in ("state", "party", "gender")))
-    of_level = Window.partitionBy("id", "level")
-    lone = (F.min("member").over(of_level) == F.max("member").over(of_level)) | (F.col("level") != COMPOUND)
-    met = met.withColumn("lone", lone).filter("lone")
-    met = met.withColumn("best", F.min("level").over(Window.partitionBy("id"))).filter("level = best")
-    left = narrow(met, ["id"], F.col("m_state") == F.col("wanted_state"), F.col("m_party") == F.col("party"), F.col("m_gender") == F.col("gender"))
-    found = left.groupBy("id").agg(F.min("member").alias("lo"), F.max("member").alias("hi"))
-    out = mentions.select("id").join(found, "id", "left")
+    asks = list(dict.fromkeys([*scope, "raw", "day", "state", "party", "gender"]))
+    asked = mention_keys(mentions.select(*asks).distinct()).withColumn("forms", pp.first_forms(F.col("name")))
+    met = asked.join(member_classes(members, scope), [*scope, "level", "key"])
+    names_fit = lambda r: F.coalesce(pp.forms_meet(r["first_name"], F.col("forms")), F.lit(False)) | F.coalesce(pp.forms_meet(r["nickname"], F.col("forms")), F.lit(False))
+    in_range = lambda r: F.col("day").isNull() | ((r["valid_from"] <= F.col("day")) & (r["valid_to"].isNull() | (F.col("day") < r["valid_to"])))
+    met = met.withColumn("rows", F.filter("rows", lambda r: in_range(r) & ((F.col("level") != LAST_WORD) | names_fit(r)))).filter(F.size("rows") > 0)
+    # narrowing by one test after another, each only if it leaves someone, leaves those of the highest score
+    least = lambda c: F.array_min(F.transform("rows", lambda r: r[c]))
+    holds = lambda c, wanted, worth: F.when(least(c) == F.col(wanted), worth).otherwise(0)
+    score = holds("state", "wanted_state", 4) + holds("party", "party", 2) + holds("gender", "gender", 1)
+    ends = [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
+    scored = met.withColumn("score", score).groupBy(*asks, "level", "score").agg(*ends)
+    levels = scored.groupBy(*asks, "level").agg(*ends, F.max_by(F.struct("lo", "hi"), "score").alias("left"))
+    levels = levels.filter((F.col("lo") == F.col("hi")) | (F.col("level") != COMPOUND))
+    found = levels.groupBy(*(F.col(c).alias(f"_{c}") for c in asks)).agg(F.min_by("left", "level").alias("left")).select(*(f"_{c}" for c in asks), "left.lo", "left.hi")
+    alike = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in asks]
+    out = mentions.select("id", *asks).join(found, alike, "left")
     status = F.when(F.col("lo").isNull(), "unknown").when(F.col("lo") == F.col("hi"), "resolved").otherwise("ambiguous")
     return out.select("id", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("member"), status.alias("status"))
 
