@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import people as pp
+from ..scratch import settled
 
 #: Levels: whole surname, last word of a compound surname, full or given name with surname, last word with given name.
 SURNAME, COMPOUND, FULL, LAST_WORD = 1, 2, 3, 4
@@ -92,7 +93,7 @@ def resolve_with_retry(mentions: DataFrame, members: DataFrame, scope: list[str]
     for there; blocks of several parties or none get no second attempt. A member whose rows
     name several parties tells nothing.
     """
-    first = resolve_members(mentions, members, scope)
+    first = settled(resolve_members(mentions, members, scope), "resolved")  # read three times
     party = members.groupBy(*scope, "member").agg(F.min("party").alias("lo"), F.max("party").alias("hi")).filter("lo = hi")
     placed = mentions.select("id", *dict.fromkeys([*scope, *block])).join(first.filter("status = 'resolved'").select("id", "member"), "id").join(party, [*scope, "member"])
     told = placed.groupBy(*block).agg(F.min("lo").alias("told"), F.max("lo").alias("most")).filter("told = most").select(*block, "told")
