@@ -1,6 +1,7 @@
 """Ordered attempts of bodies and Senators' names, by hand-made cases and against plain loops."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +88,26 @@ def test_senators_against_a_loop(spark):
         want[i] = (member, len(rows))
     got = fb.resolve_senators(spark.createDataFrame(asked, "id int, congress int, raw string, parties array<int>"), spark.createDataFrame(members, "congress int, member string, last_name string, state string, gender string, party int"))
     assert {r.id: (r.member, r.candidates) for r in got.collect()} == want
+
+
+def test_senators_of_several_states_and_alike(spark):
+    """A member with rows of two States is one candidate, met by either; members alike in all are still as many; rows of one question keep their ids."""
+    members = [(113, "A", "Ash", "OH", "M", 100), (113, "A", "Ash", "TX", "M", 100), (113, "B", "Elm", "OH", "F", 200), (113, "C", "Elm", "OH", "F", 200), (113, "E", "Elm", None, None, 100), (113, "F", "Oak", "UT", "M", 100), (113, "F", "Oak", "UT", "M", 200)]
+    asked = [
+        (1, "Ash", None, ("A", 1, "name")), (2, "Ash", None, ("A", 1, "name")), (3, "Ash of Texas", None, ("A", 1, "name")), (4, "Ash (UT)", None, (None, 0, None)), (5, "Elm", [100], ("E", 3, "party")), (6, "Ms. Elm", [100], (None, 3, None)), (7, "Elm (OH)", [200], (None, 2, None)),
+        (8, "Mr. Oak", None, (None, 2, None)), (9, "Mr. Oak", [200, None], ("F", 2, "party")), (10, "Mr. Elm", [100], ("E", 3, "party")),
+    ]
+    got = fb.resolve_senators(
+        spark.createDataFrame([(i, 113, raw, parties) for i, raw, parties, _ in asked], "id int, congress int, raw string, parties array<int>"), spark.createDataFrame(members, "congress int, member string, last_name string, state string, gender string, party int")
+    )
+    assert {r.id: (r.member, r.candidates, r.by) for r in got.collect()} == {i: want for i, _, _, want in asked}
+
+
+def test_many_senators_of_one_surname(spark):
+    """40,000 rows under a surname that 3,000 members share are no 120,000,000 pairs."""
+    began = time.monotonic()
+    held = spark.range(3000).selectExpr("113 AS congress", "concat('m', lpad(id, 4, '0')) AS member", "'Ash' AS last_name", "IF(id % 2 = 0, 'OH', 'TX') AS state", "IF(id = 9, 'F', 'M') AS gender", "IF(id = 4, 100, 200) AS party")
+    asked = spark.range(40000).selectExpr("id", "113 AS congress", "element_at(array('Ms. Ash', 'Ash (OH)', 'Mr. Jo Ash', 'Ms. Elm'), CAST(id % 4 AS INT) + 1) AS raw", "IF(id % 4 = 1, array(100), NULL) AS parties")
+    got = fb.resolve_senators(asked, held).groupBy(F.col("id") % 4, "member", "form", "candidates", "by").count().collect()
+    assert {tuple(r) for r in got} == {(0, "m0009", "Ash", 3000, "gender", 10000), (1, "m0004", "Ash", 1500, "party", 10000), (2, None, "Ash", 3000, None, 10000), (3, None, None, 0, None, 10000)}
+    assert time.monotonic() - began < 60

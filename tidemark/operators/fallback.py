@@ -141,19 +141,27 @@ def resolve_senators(asked: DataFrame, members: DataFrame) -> DataFrame:
     of several the title's gender and then ``parties`` (an array; null asks for none) narrow what is left, each only
     where it leaves someone, and the member is told where one of them leaves one (by: name, gender, party; null: open).
     Ids that meet nobody have 0 candidates and no member.
+
+    Rows alike in all but their id are one question, and members alike in all but their name are one class with its number.
     """
+    asks = ["congress", "raw", "parties"]
     name, state = peeled(F.col("raw"))
-    rows = asked.select("id", "congress", "parties", pp.gender_of_title(F.col("raw")).alias("title_gender"), state.alias("state"), name.alias("name"))
-    rows = rows.select("id", "congress", "parties", "title_gender", "state", F.posexplode(name_forms(F.col("name"))).alias("nth", "form"))
-    held = members.select("congress", F.col("last_name").alias("form"), "member", F.col("state").alias("m_state"), F.col("gender").alias("m_gender"), F.col("party").alias("m_party"))
-    met = rows.join(held, ["congress", "form"]).filter(F.col("state").isNull() | (F.col("state") == F.col("m_state")))
-    one = F.struct("member", "m_gender", "m_party")
-    of_form = met.groupBy("id", "nth", "form", "title_gender", "parties").agg(F.collect_set(one).alias("found"))
-    best = of_form.groupBy("id").agg(F.min_by(F.struct("form", "found", "title_gender", "parties"), "nth").alias("b")).select("id", "b.*")
-    alike = F.filter("found", lambda m: m["m_gender"] == F.col("title_gender"))
-    left = F.when(F.size(alike) > 0, alike).otherwise(F.col("found"))
-    sided = F.filter(left, lambda m: F.array_contains("parties", m["m_party"]))
-    by = F.when(F.size("found") == 1, "name").when(F.size(alike) == 1, "gender").when(F.size(sided) == 1, "party")
-    chosen = F.when(F.size("found") == 1, F.col("found")).when(F.size(alike) == 1, alike).when(F.size(sided) == 1, sided)
-    out = best.select("id", F.get(chosen, F.lit(0))["member"].alias("member"), "form", F.size("found").alias("candidates"), by.alias("by"))
-    return asked.select("id").join(out, "id", "left").withColumn("candidates", F.coalesce("candidates", F.lit(0)))
+    rows = asked.select(*asks).distinct().select(*asks, pp.gender_of_title(F.col("raw")).alias("title_gender"), state.alias("state"), name.alias("name"))
+    rows = rows.select(*asks, "title_gender", "state", F.posexplode(name_forms(F.col("name"))).alias("nth", "form"))
+    # a member who sits for several States is one candidate
+    held = members.groupBy("congress", F.col("last_name").alias("form"), "member", "gender", "party").agg(F.array_sort(F.collect_set("state")).alias("states"))
+    held = held.groupBy("congress", "form", "gender", "party", "states").agg(F.count("*").alias("n"), F.min("member").alias("one"))
+    met = rows.join(held, ["congress", "form"]).filter(F.col("state").isNull() | F.array_contains("states", F.col("state")))
+    alike, sided = (F.coalesce(c, F.lit(False)) for c in (F.col("gender") == F.col("title_gender"), F.array_contains("parties", F.col("party"))))
+    met = met.select(*asks, "nth", "form", "n", "one", alike.alias("alike"), sided.alias("sided"))
+    # of all candidates, those alike in gender, the party's, and the party's of those alike: how many they are, and one of them
+    parts = {"all": F.lit(True), "alike": F.col("alike"), "sided": F.col("sided"), "both": F.col("alike") & F.col("sided")}
+    sums = [f for p, when in parts.items() for f in (F.sum(F.when(when, F.col("n")).otherwise(0)).cast("int").alias(f"n_{p}"), F.min(F.when(when, F.col("one"))).alias(f"one_{p}"))]
+    of_form = met.groupBy(*asks, "nth", "form").agg(*sums)
+    n_left, one_left = (F.when(F.col("n_alike") > 0, F.col(f"{c}_both")).otherwise(F.col(f"{c}_sided")) for c in ("n", "one"))
+    by = F.when(F.col("n_all") == 1, "name").when(F.col("n_alike") == 1, "gender").when(n_left == 1, "party")
+    member = F.when(by == "name", F.col("one_all")).when(by == "gender", F.col("one_alike")).when(by == "party", one_left)
+    answer = F.struct(member.alias("member"), "form", F.col("n_all").alias("candidates"), by.alias("by"))
+    best = of_form.groupBy(*(F.col(c).alias(f"_{c}") for c in asks)).agg(F.min_by(answer, "nth").alias("b"))
+    out = asked.select("id", *asks).join(best, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in asks], "left")
+    return out.select("id", "b.member", "b.form", F.coalesce("b.candidates", F.lit(0)).alias("candidates"), "b.by")
