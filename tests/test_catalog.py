@@ -2,6 +2,7 @@
 
 import decimal
 import os
+import time
 
 import duckdb
 import pytest
@@ -50,6 +51,18 @@ def test_page_gates_equal_sql_for_every_surname(spark, tmp_path):
     assert ordered(catalog.QUERIES["page_gates"](spark, str(tmp_path)).collect()) == ordered(expected)
 
 
+def test_text_events_of_many_customers_in_one_file(spark, tmp_path):
+    """Each text is folded once for a row, and the rows of one row group by all cores."""
+    spark.range(40000).selectExpr("id AS c_custkey", "concat('Customer#', lpad(id, 9, '0')) AS c_name").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    expected = con.sql(catalog.SQL["text_events"])
+    columns, rows, began = expected.columns, expected.fetchall(), time.monotonic()
+    got = catalog.QUERIES["text_events"](spark, str(tmp_path)).select(columns).collect()
+    assert ordered(got) == ordered(rows)
+    assert time.monotonic() - began < 80
+
+
 def test_every_customer_is_resolved(spark):
     """By an own loop over all customers."""
     customers = duckdb.sql(f"SELECT c_custkey, right(c_name, 3), c_nationkey, c_mktsegment FROM '{DATA}/customer.parquet'").fetchall()

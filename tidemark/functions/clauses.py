@@ -50,17 +50,19 @@ def words(text: Column, cues: list[str]) -> Column:
 
     def kinds(w):
         low = F.lower(w)
-        bare = F.rtrim(low, F.lit(".!?"))
         initial = w.rlike(r"^(?:\p{L}\.)+$")
         stop = w.rlike(r"[.!?]$") & ~low.isin(TITLES) & ~low.isin(SHORT) & ~initial
-        kind = (
+        return once(F.struct(low.alias("low"), F.rtrim(low, F.lit(".!?")).alias("bare"), stop.alias("stop")), lambda f: kind(w, f["low"], f["bare"], f["stop"]))
+
+    def kind(w, low, bare, stop):
+        of_form = (
             F.when(bare.isin(cues), "cue").when(low.isin(TITLES), "title").when(bare.isin(SUFFIXES), "suffix")
             .when(bare.isin(["committees", "commissions", "subcommittees"]), "bodies").when(bare.isin(BODIES), "body").when(bare.isin(OPENERS) & w.rlike(r"^\p{Lu}"), "opener")
             .when(low == "vice", "vice").when(bare.isin("resignation", "death", "retirement"), "gone").when(low == "and", "and").when(w == ",", "comma").when(w.isin(";", ")"), "semi").when(w.isin(":"), "colon")
             .when(low.isin("is", "are", "was", "were", "be", "been", "being", "hereby"), "aux").when(low == "of", "of").when(low.isin("on", "the", "for"), "small").when(low.isin(PARTICLES), "particle")
             .when(w.rlike(r"^[\p{Lu}\p{N}#]"), "cap").otherwise("other")
         )
-        return F.struct(F.when(stop, F.substring(w, F.lit(1), F.length(w) - 1)).otherwise(w).alias("word"), kind.alias("kind"), stop.alias("stop"))
+        return F.struct(F.when(stop, F.substring(w, F.lit(1), F.length(w) - 1)).otherwise(w).alias("word"), of_form.alias("kind"), stop.alias("stop"))
 
     return F.transform(tokens, kinds)
 
@@ -203,8 +205,9 @@ def left_bodies(text: Column) -> Column:
     """All bodies that a text says somebody leaves, each once, in their order."""
     bodies = F.flatten(F.transform(groups(text, LEAVES), lambda g: g["bodies"]))
     key = lambda b: F.regexp_replace(F.lower(b), r"\b(?:committee on|the)\b|[^\p{L}\p{N}]", "")
-    keys = F.transform(bodies, key)
-    return F.filter(bodies, lambda b, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    # an unnamed expression would be folded anew for each body
+    first = lambda found, keys: F.filter(found, lambda b, i: F.array_position(keys, F.get(keys, i)) == i + 1)
+    return once(bodies, lambda found: once(F.transform(found, key), lambda keys: first(found, keys)))
 
 
 #: What a State stands behind when a member's text names it.

@@ -115,13 +115,16 @@ def with_events(df: DataFrame, text: str, printed: Column, to: str = "events") -
     names and bodies, and ends those of the people it replaces. Items without a member give no event; a transfer counts only with its new committee.
     What several branches read is computed once, in columns that are dropped again.
     """
-    raw, flat = F.col(text), F.col("ev_flat")
+    raw, flat, k = F.col(text), F.col("ev_flat"), F.col("ev_kind")
+    # a field is read only of the kinds that use it
+    of = lambda name, value: F.when(k == name, value)
     fields = {
-        "kind": kind(flat), "day": effective_day(flat, printed), "signed": F.coalesce(house_member(raw), transfer_member(raw)), "house": house_member(raw), "senate": senate_member(flat),
-        "speaker": speaker_member(flat), "dead": dead_member(flat), "moved": transfer_member(raw), "start": transfer_to(flat), "end": transfer_from(flat), "left": cl.left_bodies(flat),
-        "groups": cl.appointments(flat),
+        "day": F.when(k != "other", effective_day(flat, printed)), "signed": of("committee departure", F.coalesce(house_member(raw), transfer_member(raw))), "house": of("house resignation", house_member(raw)), "senate": of("senate exit", senate_member(flat)),
+        "speaker": of("speaker", speaker_member(flat)), "dead": of("death", dead_member(flat)), "moved": of("transfer", transfer_member(raw)), "start": of("transfer", transfer_to(flat)), "end": of("transfer", transfer_from(flat)),
+        "left": of("committee departure", cl.left_bodies(flat)), "groups": of("appointment", cl.appointments(flat)),
     }
-    staged = df.withColumn("ev_flat", cu.flat(raw)).withColumns({f"ev_{name}": c for name, c in fields.items()})
+    staged = df.withColumn("ev_flat", cu.flat(raw)).withColumn("ev_kind", kind(flat)).withColumns({f"ev_{name}": c for name, c in fields.items()})
+    fields["kind"] = k
     ev = {name: F.col(f"ev_{name}") for name in fields}
     none, chamber, committee = F.lit(None).cast("string"), F.lit("chamber"), F.lit("committee")
     one = lambda action, member, body, scope: F.struct(F.lit(action).alias("action"), member.alias("member"), body.alias("body"), ev["day"].alias("effective"), scope.alias("scope"))

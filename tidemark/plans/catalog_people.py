@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import departures as dp
 from ..functions import people as pp
 from ..operators import pick, rank_intervals as ri, resolve as rs
-from ..sources.tables import table
+from ..sources.tables import dealt, table
 
 _SEG = "substring(c_mktsegment, 1, 1) || lower(substring(c_mktsegment, 2))"
 
@@ -100,8 +100,9 @@ def text_events(spark, d):
         WHEN 3 THEN 'The gentleman from Ohio (Mr. ' || c_name || ') is transferred to the Committee on Sails.'
         WHEN 4 THEN 'The vacancy caused by the death of Senator ' || c_name || ' is filled.'
         WHEN 5 THEN 'The Committee on Sails met on ' || {day} || '.' END"""
-    c = table(spark, d, "customer").select("c_custkey", F.expr(text).alias("text"))
-    c = dp.with_events(c, "text", F.lit("2018-05-06").cast("date")).select("c_custkey", F.posexplode("events").alias("pos", "e"))
+    c = dealt(table(spark, d, "customer").select("c_custkey", "c_name")).select("c_custkey", F.expr(text).alias("text"))
+    # outer, as Spark lets a plain explode filter by its array first, which would read each text's events a second time, field by field
+    c = dp.with_events(c, "text", F.lit("2018-05-06").cast("date")).select("c_custkey", F.posexplode_outer("events").alias("pos", "e")).filter("pos IS NOT NULL")
     return c.select("c_custkey", "pos", "e.*")
 
 

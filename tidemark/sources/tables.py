@@ -10,6 +10,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly to all cores: for work on each row that takes longer than reading it, as a file's row group is read by one task."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
     """``events`` as an appointment ledger: event_id, user_id, day, action.
 
